@@ -44,14 +44,10 @@ LINK_PATTERN = r"https?:(?://|\\)++(?:[\p{L}\p{N}_:#@%/;$()~?+-=\\.&](?:#!)?)*+"
 # ASCII punctuation that separates words; `@` and `#` do not, they start an entity.
 SEPARATORS = "!\"$%&'()*+,-./:;<=>?[\\]^_`{|}~"
 
-# Blanks as the word counter knows them (ASCII), and as the cleaner knows them (any script).
-ASCII_BLANKS = " \t\n\x0b\x0c\r"
-UNICODE_BLANKS = (
-    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0"
-    "\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
-    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029"
-    "\u202f\u205f\u3000"
-)
+# Blanks, as regex classes: as the word counter knows them (ASCII), and as the cleaner
+# knows them (any script).
+ASCII_BLANK = r"\s"
+ANY_BLANK = r"\t-\r\x1c- \x85\p{Z}"
 
 # Report sizes.
 TOP_WORDS = 15

@@ -34,12 +34,9 @@ def mentions(tags: Column, needles: Iterable[str]) -> Column:
 
 def topic_of(tags: Column, topics: Mapping[str, Iterable[str]]) -> Column:
     """Name of the only topic the tags mention; NULL if they mention none or several."""
-    hit = {name: mentions(tags, needles) for name, needles in topics.items()}
-    label = F.lit(None).cast("string")
-    for name in reversed(list(topics)):
-        alone = reduce(
-            lambda a, b: a & b,
-            [hit[name]] + [~other for key, other in hit.items() if key != name],
-        )
-        label = F.when(alone, F.lit(name)).otherwise(label)
-    return label
+    hits = {name: mentions(tags, needles) for name, needles in topics.items()}
+    if not hits:
+        return F.lit(None).cast("string")
+    matching = reduce(lambda a, b: a + b, [hit.cast("int") for hit in hits.values()])
+    names = [F.when(hit, F.lit(name)) for name, hit in hits.items()]
+    return F.when(matching == 1, F.coalesce(*names))

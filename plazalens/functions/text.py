@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .fixed_values import ASCII_BLANKS, LINK_PATTERN, SEPARATORS, UNICODE_BLANKS
-
-# Possessive quantifiers keep the matcher iterative: a plain repeated group recurses
-# once per repetition in Java and overflows the stack on very long links or tag lists.
-_BLANK_CLASS = r"\t-\r\x1c- \x85\p{Z}"
-_BLANKS_AND_ENTITIES = (
-    rf"(?:[{_BLANK_CLASS}]++|(?<![^{_BLANK_CLASS}])[@#][^{_BLANK_CLASS}]*+)++"
-)
-
+from .fixed_values import ANY_BLANK, ASCII_BLANK, LINK_PATTERN, SEPARATORS
 
-def _as_blank(col: Column, characters: str) -> Column:
-    return F.translate(col, characters, " " * len(characters))
+# One pass over the text: a run of blanks and punctuation, with any entities in it. Possessive
+# quantifiers keep the matcher iterative: a plain repeated group recurses once per
+# repetition in Java and overflows the stack on very long links or lists of entities.
+_GAP = re.escape(SEPARATORS) + ANY_BLANK
+_GAPS_AND_ENTITIES = rf"[{_GAP}]++(?:[@#][^{_GAP}]*+[{_GAP}]*+)*+"
 
 
 def strip_links(col: Column, everywhere: bool = False) -> Column:
@@ -35,7 +32,8 @@ def strip_links(col: Column, everywhere: bool = False) -> Column:
 def strip_entities(col: Column) -> Column:
     """Turn punctuation into blanks, drop words starting with ``@`` or ``#``, and join
     what is left with single blanks."""
-    return F.trim(F.regexp_replace(_as_blank(col, SEPARATORS), _BLANKS_AND_ENTITIES, " "))
+    gap_first = F.concat(F.lit(" "), col)
+    return F.trim(F.regexp_replace(gap_first, _GAPS_AND_ENTITIES, " "))
 
 
 def clean(col: Column, everywhere: bool = False) -> Column:
@@ -44,14 +42,12 @@ def clean(col: Column, everywhere: bool = False) -> Column:
 
 
 def count_tokens(col: Column) -> Column:
-    """Lower-case words between ASCII blanks, as the word counter splits them.
-
-    May hold empty strings (leading or repeated blanks); counters drop those.
-    Splitting on one plain character skips the regex engine.
-    """
-    return F.split(_as_blank(F.lower(col), ASCII_BLANKS[1:]), " ")
+    """Lower-case words between ASCII blanks, as the word counter splits them. A text with
+    a leading or trailing blank, or none, has an empty first or last word."""
+    return F.split(F.lower(col), f"{ASCII_BLANK}+")
 
 
-def sentiment_tokens(col: Column) -> Column:
-    """Words between blanks of any script. May hold empty strings, which are in no lexicon."""
-    return F.split(_as_blank(col, UNICODE_BLANKS[1:]), " ")
+def tokens(col: Column, cleaned: bool = True) -> Column:
+    """Words of a cleaned text, or else between blanks of any script. Cleaned text splits
+    on one plain character, which needs no regex."""
+    return F.split(col, " " if cleaned else f"[{ANY_BLANK}]+")

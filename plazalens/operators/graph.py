@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import TOP_VERTICES
@@ -71,51 +72,56 @@ def hop_distances(
 
     Breadth-first from all landmarks at once. Each round joins the newest vertices to the
     links that end in them and keeps the pairs not seen before, with one shuffle of pairs.
-    Links are laid out once by their end; ends with very many links are split, so no task
-    holds a whole hub. Each round's new pairs are checkpointed: that cuts the lineage, and
-    a lost executor costs no earlier round.
+    Links are laid out once by their end, so no round shuffles them again; ends with very
+    many links are split, so no task holds a whole hub. Each round's new pairs are
+    checkpointed: that cuts the lineage, and a lost executor costs no earlier round.
     """
     use_checkpoint_dir(links.sparkSession)
     laid_out, splits = _laid_out(links, directed)
-    newest = (
-        _landmark_table(links, landmarks)
-        .join(F.broadcast(splits), "id", "left")
-        .select(
-            F.col("id").alias("landmark"),
-            "id",
-            F.coalesce("parts", F.lit(1)).alias("parts"),
-            F.lit(0).alias("distance"),
-        )
-        .checkpoint()
-    )
-    seen = newest
-    hop = 0
-    while max_hops is None or hop < max_hops:
-        hop += 1
-        reached = newest.select(
-            "landmark",
-            F.col("id").alias("dst"),
-            F.explode(F.sequence(F.lit(1), "parts")).alias("part"),
-        )
-        step = laid_out.join(reached, ["dst", "part"]).select(
-            "landmark",
-            F.col("src").alias("id"),
-            F.col("src_parts").alias("parts"),
-            F.lit(hop).alias("distance"),
-        )
-        newest = (
-            seen.unionByName(step)
-            .groupBy("landmark", "id")
-            .agg(F.max("parts").alias("parts"), F.min("distance").alias("distance"))
-            .filter(F.col("distance") == hop)
-            .checkpoint()
-        )
-        if newest.isEmpty():
-            break
-        seen = seen.unionByName(newest)
+    try:
+        newest = _at_landmarks(_landmark_table(links, landmarks), splits).checkpoint()
+        seen = newest
+        hop = 0
+        while not newest.isEmpty() and (max_hops is None or hop < max_hops):
+            hop += 1
+            newest = _next_hop(laid_out, newest, seen, hop).checkpoint()
+            seen = seen.unionByName(newest)
+    finally:
+        laid_out.unpersist()
     return seen.select("landmark", "id", "distance")
 
 
+def _at_landmarks(landmarks: DataFrame, splits: DataFrame) -> DataFrame:
+    return landmarks.join(F.broadcast(splits), "id", "left").select(
+        F.col("id").alias("landmark"),
+        "id",
+        F.coalesce("parts", F.lit(1)).alias("parts"),
+        F.lit(0).alias("distance"),
+    )
+
+
+def _next_hop(links: DataFrame, newest: DataFrame, seen: DataFrame, hop: int) -> DataFrame:
+    """The pairs reached in ``hop`` edges and in no fewer. Tasks merge repeated pairs
+    before the shuffle."""
+    reached = newest.select(
+        "landmark",
+        F.col("id").alias("dst"),
+        F.explode(F.sequence(F.lit(1), "parts")).alias("part"),
+    )
+    step = links.join(reached, ["dst", "part"]).select(
+        "landmark",
+        F.col("src").alias("id"),
+        F.col("src_parts").alias("parts"),
+        F.lit(hop).alias("distance"),
+    )
+    return (
+        seen.unionByName(step)
+        .groupBy("landmark", "id")
+        .agg(F.max("parts").alias("parts"), F.min("distance").alias("distance"))
+        .filter(F.col("distance") == hop)
+    )
+
+
 def closeness(distances: DataFrame) -> DataFrame:
     """``landmark``, ``closeness`` from `hop_distances`: the number of other vertices that
     reach the landmark over the sum of their distances; 0 if none does.
@@ -140,16 +146,19 @@ def _laid_out(links: DataFrame, directed: bool) -> tuple[DataFrame, DataFrame]:
     """Distinct links partitioned by end vertex and part, and the split vertices.
 
     Links: ``src``, ``dst``, ``part`` of dst's links this one is in, and ``src_parts``, the
-    number of parts src's own links are in. Splits: ``id``, ``parts``, at most
-    ``_MAX_SPLIT`` rows since each of them ends more than 1 / ``_MAX_SPLIT`` of the links;
-    that is what makes them safe to broadcast.
+    number of parts src's own links are in. They are persisted, which keeps their
+    partitioning for the joins; what is lost with an executor comes back from the
+    checkpointed pairs.
+
+    Splits: ``id``, ``parts``, at most ``_MAX_SPLIT`` rows since each of them ends more
+    than 1 / ``_MAX_SPLIT`` of the links. That bound makes them safe to broadcast.
     """
     pairs = links.select("src", "dst")
     if not directed:
-        way = F.explode(
-            F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))
+        there, back = F.struct("src", "dst"), F.struct(
+            F.col("dst").alias("src"), F.col("src").alias("dst")
         )
-        pairs = pairs.select(way.alias("way")).select("way.src", "way.dst")
+        pairs = pairs.select(F.explode(F.array(there, back)).alias("way")).select("way.*")
     pairs = pairs.filter(F.col("src") != F.col("dst")).distinct().checkpoint()
 
     per_part = max(_LINKS_PER_PART, -(-pairs.count() // _MAX_SPLIT))
@@ -160,12 +169,12 @@ def _laid_out(links: DataFrame, directed: bool) -> tuple[DataFrame, DataFrame]:
         .select("id", F.ceil(F.col("links") / per_part).cast("int").alias("parts"))
         .checkpoint()
     )
-    ends = F.broadcast(splits.withColumnsRenamed({"id": "dst", "parts": "dst_parts"}))
-    starts = F.broadcast(splits.withColumnsRenamed({"id": "src", "parts": "src_parts"}))
+    ends = splits.withColumnsRenamed({"id": "dst", "parts": "dst_parts"})
+    starts = splits.withColumnsRenamed({"id": "src", "parts": "src_parts"})
     part = F.pmod(F.xxhash64("src"), F.coalesce("dst_parts", F.lit(1))) + 1
     laid_out = (
-        pairs.join(ends, "dst", "left")
-        .join(starts, "src", "left")
+        pairs.join(F.broadcast(ends), "dst", "left")
+        .join(F.broadcast(starts), "src", "left")
         .select(
             "src",
             "dst",
@@ -173,5 +182,7 @@ def _laid_out(links: DataFrame, directed: bool) -> tuple[DataFrame, DataFrame]:
             F.coalesce("src_parts", F.lit(1)).alias("src_parts"),
         )
         .repartition("dst", "part")
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    return laid_out.checkpoint(), splits
+    laid_out.count()
+    return laid_out, splits

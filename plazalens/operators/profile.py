@@ -92,18 +92,22 @@ def histogram(values: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> Dat
     a unit to each side. NULLs are left out, empty bins are kept.
 
     The input is read once: it is reduced to distinct values and their counts, and both
-    the range and the bins come from that shuffle.
+    the range and the bins come from that shuffle. (``rows`` is there to keep Spark from
+    taking the range of the ungrouped values, which would read the input again.)
     """
     counts = (
         values.select(F.col(column).alias("value"))
-        .dropna()
+        .filter(F.col("value").isNotNull())
         .groupBy("value")
         .agg(F.count("*").alias("n"))
     )
     one_value = F.min("value") == F.max("value")
     low = F.min("value").cast("double") - F.when(one_value, 0.5).otherwise(0.0)
     high = F.max("value").cast("double") + F.when(one_value, 0.5).otherwise(0.0)
-    span = counts.agg(F.struct(low.alias("low"), high.alias("high")).alias("span"))
+    rows = F.sum("n")
+    span = counts.agg(
+        F.struct(low.alias("low"), high.alias("high"), rows.alias("rows")).alias("span")
+    )
 
     ranged = counts.withColumn("span", span.scalar())
     x, low, high = F.col("value").cast("double"), F.col("span.low"), F.col("span.high")

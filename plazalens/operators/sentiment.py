@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import NEGATIVE, NEUTRAL, POSITIVE
-from ..functions.text import sentiment_tokens
+from ..functions.text import tokens
 from ..sources.posts import POST_FIELDS, PostFields
 from .profile import is_reshare
 
@@ -38,36 +38,37 @@ def read_lexicon(spark, positive: str, negative: str) -> DataFrame:
     return words(positive, 1).union(words(negative, -1)).filter("word != ''")
 
 
-def label_of(score: Column, labels: Labels = LABELS) -> Column:
-    """Positive, negative or neutral label by the sign of a score; NULL for NULL."""
+def label_of(score: str, labels: Labels = LABELS) -> Column:
+    """Positive, negative or neutral label by the sign of a score column; NULL for NULL."""
     positive, negative, neutral = labels
-    return (
-        F.when(score > 0, positive).when(score < 0, negative).when(score == 0, neutral)
-    )
+    sign = F.sign(score)
+    return F.when(sign > 0, positive).when(sign < 0, negative).when(sign == 0, neutral)
 
 
-def score_of(col: Column, entries: Iterable[tuple[str, int]]) -> Column:
-    """Summed polarity of a text's words, by entries small enough for the plan.
+def score_sql(words: str, entries: Iterable[tuple[str, int]]) -> str:
+    """SQL of the summed polarity of a column of words, for entries that fit in the plan.
 
     An entry listed twice counts once; a word with several polarities counts with each.
+    Thousands of literals go to the parser as one string, not one by one through the
+    Python gateway, and end up in one hash set per polarity.
     """
     net: dict[str, int] = defaultdict(int)
-    for word, polarity in {(w, int(p)) for w, p in entries if w}:
+    for word, polarity in {(word, int(polarity)) for word, polarity in entries if word}:
         net[word] += polarity
     by_polarity: dict[int, list[str]] = defaultdict(list)
     for word in sorted(net):
         if net[word]:
-            by_polarity[net[word]].append(word)
-
-    tokens = sentiment_tokens(col)
+            by_polarity[net[word]].append(_literal(word))
+    cases = "".join(
+        f" WHEN word IN ({', '.join(words_of)}) THEN {polarity}"
+        for polarity, words_of in sorted(by_polarity.items())
+    )
+    gain = f"CASE{cases} ELSE 0 END" if cases else "0"
+    return f"aggregate({words}, 0, (score, word) -> score + {gain})"
 
-    def hits(words: list[str]) -> Column:
-        return F.size(F.filter(tokens, lambda token: token.isin(words)))
 
-    score = F.when(col.isNotNull(), 0)
-    for polarity, words in by_polarity.items():
-        score = score + hits(words) * polarity
-    return score
+def _literal(word: str) -> str:
+    return "'" + word.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def with_sentiment(
@@ -76,68 +77,65 @@ def with_sentiment(
     column: str = "text_cln",
     out: str = "sentiment",
     labels: Labels = LABELS,
+    cleaned: bool = True,
     inline_entries: int = INLINE_ENTRIES,
 ) -> DataFrame:
-    """Add the sentiment label of a text column; NULL for NULL text.
+    """Add the sentiment label of a text column; NULL for NULL text. ``cleaned=False`` is
+    for text that did not pass `clean_text`.
 
     Entries given in Python, or in a table of at most ``inline_entries`` rows, are tested
     inside each row: no shuffle. At most that many rows ever reach the driver. A larger
     table is joined, with the same result.
     """
+    words = tokens(F.col(column), cleaned)
     if isinstance(lexicon, DataFrame):
-        entries = lexicon.select("word", "polarity").distinct()
+        entries = lexicon.select("word", "polarity").dropna().distinct()
         head = entries.limit(inline_entries + 1).collect()
         if len(head) > inline_entries:
-            return _with_joined_sentiment(df, entries, column, out, labels)
-        lexicon = [(row.word, row.polarity) for row in head if row.word and row.polarity]
+            return _with_joined_sentiment(df, entries, column, words, out, labels)
+        lexicon = [(row.word, row.polarity) for row in head]
     elif isinstance(lexicon, Mapping):
         lexicon = lexicon.items()
-    return df.withColumn(out, label_of(score_of(F.col(column), lexicon), labels))
+    scored = df.withColumn("__words", words).withColumn(
+        "__score", F.expr(score_sql("__words", lexicon))
+    )
+    return scored.withColumn(out, label_of("__score", labels)).drop("__words", "__score")
 
 
 def _with_joined_sentiment(
-    df: DataFrame, entries: DataFrame, column: str, out: str, labels: Labels
+    df: DataFrame, entries: DataFrame, column: str, words: Column, out: str, labels: Labels
 ) -> DataFrame:
     """The label by joins, for a lexicon too large for the plan.
 
-    Texts are known by their SHA-256, each taken once however often it was posted. Both
-    joins are salted: a word in a third of all texts, or a text posted a third of the
-    time, is spread over ``_SPREAD`` parts.
+    Scores belong to texts, known by their SHA-256. A text posted n times scores n times as
+    much, with the same sign. Both joins are salted by row, so neither a word in a third of
+    all texts nor a text posted a third of the time ends up in one task.
     """
     salts = F.explode(F.sequence(F.lit(0), F.lit(_SPREAD - 1))).alias("__salt")
-    digest = F.sha2(F.col(column), 256).alias("__digest")
-
-    polarity = entries.groupBy("word").agg(F.sum("polarity").alias("polarity"))
-    polarity = polarity.filter("polarity != 0").select("word", "polarity", salts)
-    tokens = (
-        df.filter(F.col(column).isNotNull())
-        .select(F.col(column).alias("__text"))
-        .distinct()
-        .select(
-            F.sha2("__text", 256).alias("__digest"),
-            F.explode(sentiment_tokens(F.col("__text"))).alias("word"),
-        )
-        .groupBy("__digest", "word")
-        .agg(F.count("*").alias("n"))
-        .withColumn("__salt", F.pmod(F.xxhash64("__digest"), F.lit(_SPREAD)).cast("int"))
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in df.columns]), F.lit(_SPREAD))
+    rows = df.select(
+        "*",
+        F.unhex(F.sha2(column, 256)).alias("__digest"),
+        F.coalesce(salt.cast("int"), F.lit(0)).alias("__salt"),
+    )
+    polarity = (
+        entries.groupBy("word")
+        .agg(F.sum("polarity").alias("polarity"))
+        .filter("polarity != 0")
+        .select("word", "polarity", salts)
     )
     scores = (
-        tokens.join(polarity, ["word", "__salt"])
+        rows.select("__digest", "__salt", F.explode(words).alias("word"))
+        .join(polarity, ["word", "__salt"])
         .groupBy("__digest")
-        .agg(F.sum(F.col("n") * F.col("polarity")).alias("__score"))
+        .agg(F.sum("polarity").alias("__score"))
         .select("__digest", "__score", salts)
     )
-    rows = df.select(
-        "*",
-        digest,
-        F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(_SPREAD))
-        .cast("int")
-        .alias("__salt"),
-    )
     score = F.when(F.col(column).isNotNull(), F.coalesce("__score", F.lit(0)))
     return (
         rows.join(scores, ["__digest", "__salt"], "left")
-        .withColumn(out, label_of(score, labels))
+        .withColumn("__score", score)
+        .withColumn(out, label_of("__score", labels))
         .drop("__digest", "__salt", "__score")
     )
 

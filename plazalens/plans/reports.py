@@ -56,8 +56,10 @@ def segment_counts(
         F.struct(F.lit("raw").alias("form"), raw.alias("text")),
         F.struct(F.lit("clean").alias("form"), cleaned.alias("text")),
     )
-    words = labelled.select("topic", "sentiment", F.explode(forms).alias("form")).select(
-        "topic", "sentiment", "form.form", F.explode(count_tokens(F.col("form.text"))).alias("word")
+    words = (
+        labelled.select("topic", "sentiment", F.explode(forms).alias("form"))
+        .select("topic", "sentiment", "form.form", count_tokens(F.col("form.text")).alias("words"))
+        .select("topic", "sentiment", "form", F.explode("words").alias("word"))
     )
     positive, negative, _ = labels
     counts = (

@@ -1,0 +1,100 @@
+import json
+import re
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from plazalens.sources import POST_SCHEMA, dedup_report, deduplicate, read_posts
+from plazalens.sources.checkpoints import use_checkpoint_dir
+from tests.fixtures import POSTS
+
+
+def named_fields(kind):
+    if isinstance(kind, T.ArrayType):
+        return named_fields(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return sum(1 + named_fields(field.dataType) for field in kind)
+    return 0
+
+
+def test_schema_has_all_fields(posts):
+    assert len(posts.columns) == 23
+    assert named_fields(posts.schema) == 243
+    original = posts.schema["retweeted_status"].dataType
+    assert set(original.names) == set(posts.columns) - {"retweeted_status"} | {"scopes"}
+
+
+def test_declared_and_inferred_schema_read_the_same(spark, posts, posts_path):
+    inferred = read_posts(spark, posts_path, schema=None)
+    paths = ["id", "text", "created_at", "retweet_count", "in_reply_to_screen_name", "user.name",
+             "user.time_zone", "geo.coordinates", "place.country", "entities.hashtags.text",
+             "retweeted_status.user.name", "retweeted_status.entities.hashtags.text"]
+    columns = [F.col(path).alias(path.replace(".", "_")) for path in paths]
+    assert posts.select(columns).exceptAll(inferred.select(columns)).isEmpty()
+    assert posts.count() == inferred.count() == len(POSTS)
+
+
+def test_narrow_schema_parses_only_its_fields(spark, posts_path):
+    assert read_posts(spark, posts_path, "id BIGINT, text STRING").columns == ["id", "text"]
+
+
+def test_deduplicate_compares_every_column(posts):
+    kept = deduplicate(posts)
+    assert kept.count() == len({json.dumps(post) for post in POSTS}) == len(POSTS) - 1
+    assert kept.filter("id = 1").count() == 2
+    assert deduplicate(kept).count() == kept.count()
+    assert deduplicate(posts, ["id"]).count() == 12
+
+
+def test_dedup_report(spark, posts):
+    n = len(POSTS)
+    assert dedup_report(posts).collect() == [(n, n - 1, n - 2, True)]
+    assert dedup_report(posts.filter("id > 8")).collect() == [(4, 4, 4, False)]
+    assert dedup_report(posts.filter("id = 8")).collect() == [(1, 1, 0, True)]
+    assert dedup_report(posts.limit(0)).collect() == [(0, 0, 0, False)]
+
+
+class FakeContext:
+    def __init__(self, master, current=None):
+        self.master, self.current = master, current
+
+    def getCheckpointDir(self):
+        return self.current
+
+    def setCheckpointDir(self, folder):
+        self.current = folder
+
+
+class FakeSession:
+    def __init__(self, context, setting=None):
+        self.sparkContext, self.setting = context, setting
+        self.conf = self
+
+    def get(self, key, default):
+        assert key == "spark.checkpoint.dir"
+        return self.setting or default
+
+
+def test_checkpoints_go_to_the_shared_folder():
+    context = FakeContext("yarn")
+    use_checkpoint_dir(FakeSession(context, "hdfs://shared/cp"))
+    assert context.current == "hdfs://shared/cp"
+    context.current = "hdfs://shared/cp/0f-11"
+    use_checkpoint_dir(FakeSession(context, "hdfs://shared/cp/"))
+    assert context.current == "hdfs://shared/cp/0f-11"
+
+
+def test_checkpoints_without_a_setting():
+    with pytest.raises(RuntimeError, match=re.escape("spark.checkpoint.dir")):
+        use_checkpoint_dir(FakeSession(FakeContext("spark://host")))
+    kept = FakeContext("spark://host", "hdfs://set/before")
+    use_checkpoint_dir(FakeSession(kept))
+    assert kept.current == "hdfs://set/before"
+    local = FakeContext("local[8]")
+    use_checkpoint_dir(FakeSession(local))
+    assert local.current
+
+
+def test_schema_is_plain_ddl():
+    assert POST_SCHEMA.startswith("contributors ARRAY<BIGINT>")
