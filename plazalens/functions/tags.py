@@ -19,24 +19,26 @@ def is_empty(tags: Column) -> Column:
     return F.coalesce(F.size(tags), F.lit(0)) <= 0
 
 
-def mentions(tags: Column, needles: Iterable[str]) -> Column:
+def searchable(tags: Column) -> Column:
+    """The joined tags in lower case: what the tests below search. Operators put it into a
+    column of its own, so it is built once per row."""
+    return F.lower(joined(tags))
+
+
+def mentions(haystack: Column, needles: Iterable[str]) -> Column:
     """True if some tag holds one of the needles, in any letter case.
 
     A needle that contains another one can match nothing new and is left out.
     """
     wanted = sorted({needle.lower() for needle in needles})
     wanted = [n for n in wanted if not any(o != n and o in n for o in wanted)]
-    if not wanted:
-        return F.lit(False)
-    haystack = F.lower(joined(tags))
-    return reduce(lambda a, b: a | b, [haystack.contains(needle) for needle in wanted])
+    tests = [haystack.contains(needle) for needle in wanted]
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
-def topic_of(tags: Column, topics: Mapping[str, Iterable[str]]) -> Column:
+def topic_of(haystack: Column, topics: Mapping[str, Iterable[str]]) -> Column:
     """Name of the only topic the tags mention; NULL if they mention none or several."""
-    hits = {name: mentions(tags, needles) for name, needles in topics.items()}
-    if not hits:
-        return F.lit(None).cast("string")
-    matching = reduce(lambda a, b: a + b, [hit.cast("int") for hit in hits.values()])
+    hits = {name: mentions(haystack, needles) for name, needles in topics.items()}
     names = [F.when(hit, F.lit(name)) for name, hit in hits.items()]
-    return F.when(matching == 1, F.coalesce(*names))
+    matching = reduce(lambda a, b: a + b, [hit.cast("int") for hit in hits.values()], F.lit(0))
+    return F.when(matching == 1, F.coalesce(*names, F.lit(None).cast("string")))

@@ -36,6 +36,27 @@ def edges(posts: DataFrame, fields: PostFields = POST_FIELDS) -> DataFrame:
     ).dropna()
 
 
+def network_size(posts: DataFrame, fields: PostFields = POST_FIELDS) -> DataFrame:
+    """One row: ``users`` (distinct names), ``users_with_null`` (one more if some post has no
+    author or no original), ``edges``."""
+    author, source = F.col(fields.author), F.col(fields.source_author)
+    is_edge = author.isNotNull() & source.isNotNull()
+    ends = F.array(
+        F.struct(author.alias("id"), is_edge.alias("is_edge")),
+        F.struct(source.alias("id"), F.lit(False).alias("is_edge")),
+    )
+    per_user = (
+        posts.select(F.explode(ends).alias("end"))
+        .groupBy("end.id")
+        .agg(F.count_if("end.is_edge").alias("edges"))
+    )
+    return per_user.agg(
+        F.count("id").alias("users"),
+        F.count("*").alias("users_with_null"),
+        F.coalesce(F.sum("edges"), F.lit(0)).alias("edges"),
+    )
+
+
 def degrees(links: DataFrame) -> DataFrame:
     """``id``, ``degree``: incoming and outgoing edges of each vertex. Parallel edges count
     each, a loop counts twice, vertices without edges are absent."""

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import NEGATIVE, NEUTRAL, POSITIVE
+from ..functions.once import once
 from ..functions.text import tokens
 from ..sources.posts import POST_FIELDS, PostFields
 from .profile import is_reshare
@@ -97,7 +98,7 @@ def with_sentiment(
     elif isinstance(lexicon, Mapping):
         lexicon = lexicon.items()
     scored = df.withColumn("__words", words).withColumn(
-        "__score", F.expr(score_sql("__words", lexicon))
+        "__score", once(F.expr(score_sql("__words", lexicon)))
     )
     return scored.withColumn(out, label_of("__score", labels)).drop("__words", "__score")
 

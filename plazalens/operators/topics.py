@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import TOPIC_NEEDLES
-from ..functions.tags import topic_of
+from ..functions.once import once
+from ..functions.tags import searchable, topic_of
 from ..sources.posts import POST_FIELDS, PostFields
 from .profile import kind_aggregates
 
@@ -20,7 +21,15 @@ def with_topic(
 ) -> DataFrame:
     """Add ``topic``, NULL for posts that mention no topic or several. Give the original's
     tag column to label reshares by what they reshare."""
-    return posts.withColumn("topic", topic_of(F.col(tags), topics))
+    searched = posts.withColumn("__tags", searchable(F.col(tags)))
+    return searched.withColumn("topic", once(topic_of(F.col("__tags"), topics))).drop("__tags")
+
+
+def on_topic(
+    posts: DataFrame, topics: Topics = TOPIC_NEEDLES, tags: str = POST_FIELDS.tags
+) -> DataFrame:
+    """The posts of exactly one topic, with ``topic``."""
+    return with_topic(posts, topics, tags).filter(F.col("topic").isNotNull())
 
 
 def topic_posts(
@@ -29,8 +38,8 @@ def topic_posts(
     topics: Topics = TOPIC_NEEDLES,
     tags: str = POST_FIELDS.tags,
 ) -> DataFrame:
-    """The posts of one topic."""
-    return posts.filter(topic_of(F.col(tags), topics) == topic)
+    """The posts of one topic and no other."""
+    return with_topic(posts, topics, tags).filter(F.col("topic") == topic)
 
 
 def source_topic_sum(
@@ -38,8 +47,7 @@ def source_topic_sum(
 ) -> DataFrame:
     """Per topic of the reshared original: ``posts`` and the sum of their counters,
     ``reshare_count``. An original that is reshared n times counts n times."""
-    labelled = with_topic(posts, topics, fields.source_tags).dropna(subset=["topic"])
-    return labelled.groupBy("topic").agg(
+    return on_topic(posts, topics, fields.source_tags).groupBy("topic").agg(
         F.count("*").alias("posts"), F.sum(fields.reshare_count).alias("reshare_count")
     )
 
@@ -53,22 +61,28 @@ def topic_report(
     One pass: a row counts under its own topic and under its original's. Only the columns
     that are counted pass through the expansion.
     """
-    own = F.struct(topic_of(F.col(fields.tags), topics).alias("topic"), F.lit(True).alias("own"))
-    source = F.struct(
-        topic_of(F.col(fields.source_tags), topics).alias("topic"), F.lit(False).alias("own")
-    )
     flat = PostFields(
         source_author="source_author", reply_to="reply_to", reshare_count="reshare_count"
     )
-    roles = posts.select(
-        F.explode(F.array(own, source)).alias("role"),
+    searched = posts.select(
+        searchable(F.col(fields.tags)).alias("own_tags"),
+        searchable(F.col(fields.source_tags)).alias("source_tags"),
         F.col(fields.source_author).alias(flat.source_author),
         F.col(fields.reply_to).alias(flat.reply_to),
         F.col(fields.reshare_count).alias(flat.reshare_count),
-    ).filter(F.col("role.topic").isNotNull())
+    )
+    own, source = (
+        F.struct(topic_of(F.col(tags), topics).alias("topic"), F.lit(is_own).alias("own"))
+        for tags, is_own in (("own_tags", True), ("source_tags", False))
+    )
+    roles = searched.withColumn("role", F.explode(F.array(own, source)))
     is_own = F.col("role.own")
-    return roles.groupBy(F.col("role.topic").alias("topic")).agg(
-        *kind_aggregates(flat, among=is_own),
-        F.count_if(~is_own).alias("source_posts"),
-        F.sum(F.when(~is_own, F.col(flat.reshare_count))).alias("source_reshare_count"),
+    return (
+        roles.filter(F.col("role.topic").isNotNull())
+        .groupBy(F.col("role.topic").alias("topic"))
+        .agg(
+            *kind_aggregates(flat, among=is_own),
+            F.count_if(~is_own).alias("source_posts"),
+            F.sum(F.when(~is_own, F.col(flat.reshare_count))).alias("source_reshare_count"),
+        )
     )

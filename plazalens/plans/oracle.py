@@ -201,6 +201,10 @@ ORACLE: dict[str, str] = {
   SELECT count(*) AS raw FROM documents)
 SELECT raw, deduped, deduped_with_text, raw <> deduped_with_text AS removed
 FROM kept, everything""",
+    "dedup_flat_posts": f"""WITH {_POSTS} SELECT DISTINCT id, text, author, zone, reply_to,
+  rt_author AS source_author, coalesce(array_to_string(tags, '|'), '') AS tags,
+  coalesce(array_to_string(src_tags, '|'), '') AS source_tags
+FROM (FROM posts UNION ALL FROM posts)""",
     "null_profile": f"""WITH {_POSTS} SELECT count(*) AS rows, count(author) AS author,
   count(zone) AS zone, count(tags) AS tags, count(rt_author) AS rt_author,
   count(reply_to) AS reply_to, count(src_tags) AS src_tags, count(src_reply_to) AS src_reply_to
@@ -273,6 +277,10 @@ SELECT author AS id FROM posts UNION SELECT rt_author FROM posts WHERE rt_author
     "vertices_with_null": f"""WITH {_POSTS}
 SELECT author AS id FROM posts UNION SELECT rt_author FROM posts""",
     "edges": f"WITH {_POST_LINKS} SELECT src, dst FROM links",
+    "network_size": f"""WITH {_POST_LINKS}, users AS (
+  SELECT author AS id FROM posts UNION SELECT rt_author FROM posts), counted AS (
+  SELECT count(id) AS users, count(*) AS users_with_null FROM users)
+SELECT users, users_with_null, (SELECT count(*) FROM links) AS edges FROM counted""",
     "degrees": f"WITH {_EVENT_LINKS}, {_DEGREES} SELECT id, degree FROM degrees",
     "degree_share": f"""WITH {_EVENT_LINKS}, {_DEGREES}
 SELECT id, degree, {_SHARE} FROM degrees""",

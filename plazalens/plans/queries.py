@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import graph, profile, sentiment, topics, words
-from ..sources.posts import dedup_report, deduplicate
+from ..sources.posts import POST_FIELDS, dedup_report, deduplicate, distinct_flat
 from . import reports, tables
-from .tables import FLAT_FIELDS, TOPICS, ZONE_PATTERN
+from .tables import FIELDS, TOPICS, ZONE_PATTERN
 
 Query = Callable[[SparkSession, str], DataFrame]
 LEXICON = sentiment.lexicon_of(tables.POSITIVE_WORDS, tables.NEGATIVE_WORDS)
@@ -47,6 +47,16 @@ def dedup_summary(spark, sf_dir):
     return dedup_report(tables.table(spark, sf_dir, "documents").select("text", "lang"))
 
 
+@_query
+def dedup_flat_posts(spark, sf_dir):
+    posts = tables.nested_posts(spark, sf_dir)
+    flat = distinct_flat(posts.unionAll(posts), POST_FIELDS)
+    return flat.select(
+        "id", "text", "author", "zone", "reply_to", "source_author",
+        F.concat_ws("|", "tags").alias("tags"), F.concat_ws("|", "source_tags").alias("source_tags"),
+    )
+
+
 @_query
 def null_profile(spark, sf_dir):
     paths = ["author", "zone", "tags", "rt_author", "reply_to", "src_tags", "src_reply_to"]
@@ -55,27 +65,27 @@ def null_profile(spark, sf_dir):
 
 @_query
 def kind_breakdown(spark, sf_dir):
-    return profile.kind_breakdown(tables.posts(spark, sf_dir), FLAT_FIELDS)
+    return profile.kind_breakdown(tables.posts(spark, sf_dir), FIELDS)
 
 
 @_query
 def kind_breakdown_by_zone(spark, sf_dir):
-    return profile.kind_breakdown(tables.posts(spark, sf_dir), FLAT_FIELDS, by=["zone"])
+    return profile.kind_breakdown(tables.posts(spark, sf_dir), FIELDS, by=["zone"])
 
 
 @_query
 def mean_text_length(spark, sf_dir):
-    return profile.mean_text_length(tables.posts(spark, sf_dir), FLAT_FIELDS)
+    return profile.mean_text_length(tables.posts(spark, sf_dir), FIELDS)
 
 
 @_query
 def text_completeness(spark, sf_dir):
-    return profile.text_completeness(tables.posts(spark, sf_dir), FLAT_FIELDS)
+    return profile.text_completeness(tables.posts(spark, sf_dir), FIELDS)
 
 
 @_query
 def text_length_histogram(spark, sf_dir):
-    return profile.text_length_histogram(tables.posts(spark, sf_dir), FLAT_FIELDS)
+    return profile.text_length_histogram(tables.posts(spark, sf_dir), FIELDS)
 
 
 @_query
@@ -94,12 +104,12 @@ def period(spark, sf_dir):
 
 @_query
 def zone_report(spark, sf_dir):
-    return profile.zone_report(tables.posts(spark, sf_dir), ZONE_PATTERN, FLAT_FIELDS)
+    return profile.zone_report(tables.posts(spark, sf_dir), ZONE_PATTERN, FIELDS)
 
 
 @_query
 def posts_with_tags(spark, sf_dir):
-    return profile.with_tags(tables.posts(spark, sf_dir), FLAT_FIELDS).select("id")
+    return profile.with_tags(tables.posts(spark, sf_dir), FIELDS).select("id")
 
 
 # --- topics ------------------------------------------------------------------
@@ -107,8 +117,7 @@ def posts_with_tags(spark, sf_dir):
 
 @_query
 def topic_posts(spark, sf_dir):
-    posts = topics.with_topic(tables.posts(spark, sf_dir), TOPICS, "tags")
-    return posts.filter(F.col("topic").isNotNull()).select("id", "topic")
+    return topics.on_topic(tables.posts(spark, sf_dir), TOPICS, "tags").select("id", "topic")
 
 
 @_query
@@ -119,12 +128,12 @@ def one_topic_posts(spark, sf_dir):
 
 @_query
 def source_topic_sum(spark, sf_dir):
-    return topics.source_topic_sum(tables.posts(spark, sf_dir), TOPICS, FLAT_FIELDS)
+    return topics.source_topic_sum(tables.posts(spark, sf_dir), TOPICS, FIELDS)
 
 
 @_query
 def topic_report(spark, sf_dir):
-    return topics.topic_report(tables.posts(spark, sf_dir), TOPICS, FLAT_FIELDS)
+    return topics.topic_report(tables.posts(spark, sf_dir), TOPICS, FIELDS)
 
 
 @_query
@@ -172,19 +181,19 @@ def sentiment_joined_lexicon(spark, sf_dir):
 
 @_query
 def sentiment_by_topic(spark, sf_dir):
-    labelled = reports.labelled_posts(tables.posts(spark, sf_dir), LEXICON, TOPICS, FLAT_FIELDS)
+    labelled = reports.labelled_posts(tables.posts(spark, sf_dir), LEXICON, TOPICS, FIELDS)
     return labelled.groupBy("topic", "sentiment").agg(F.count("*").alias("count"))
 
 
 @_query
 def sentiment_kinds(spark, sf_dir):
-    labelled = reports.labelled_posts(tables.posts(spark, sf_dir), LEXICON, TOPICS, FLAT_FIELDS)
-    return sentiment.sentiment_kinds(labelled, FLAT_FIELDS)
+    labelled = reports.labelled_posts(tables.posts(spark, sf_dir), LEXICON, TOPICS, FIELDS)
+    return sentiment.sentiment_kinds(labelled, FIELDS)
 
 
 @_query
 def positive_posts(spark, sf_dir):
-    labelled = reports.labelled_posts(tables.posts(spark, sf_dir), LEXICON, TOPICS, FLAT_FIELDS)
+    labelled = reports.labelled_posts(tables.posts(spark, sf_dir), LEXICON, TOPICS, FIELDS)
     return labelled.filter(F.col("sentiment") == sentiment.POSITIVE).select("id", "topic")
 
 
@@ -224,7 +233,7 @@ def top_total(spark, sf_dir):
 
 def _segment_counts(spark, sf_dir):
     return reports.segment_counts(
-        tables.posts(spark, sf_dir), LEXICON, TOPICS, fields=FLAT_FIELDS
+        tables.posts(spark, sf_dir), LEXICON, TOPICS, fields=FIELDS
     )
 
 
@@ -240,8 +249,8 @@ def keyword_report(spark, sf_dir):
 
 @_query
 def keyword_report_zone(spark, sf_dir):
-    posts = profile.in_zone(tables.posts(spark, sf_dir), ZONE_PATTERN, FLAT_FIELDS)
-    counts = reports.segment_counts(posts, LEXICON, TOPICS, fields=FLAT_FIELDS)
+    posts = profile.in_zone(tables.posts(spark, sf_dir), ZONE_PATTERN, FIELDS)
+    counts = reports.segment_counts(posts, LEXICON, TOPICS, fields=FIELDS)
     return reports.keyword_report(counts)
 
 
@@ -255,17 +264,22 @@ def keyword_totals(spark, sf_dir):
 
 @_query
 def vertices(spark, sf_dir):
-    return graph.vertices(tables.posts(spark, sf_dir), FLAT_FIELDS)
+    return graph.vertices(tables.posts(spark, sf_dir), FIELDS)
 
 
 @_query
 def vertices_with_null(spark, sf_dir):
-    return graph.vertices(tables.posts(spark, sf_dir), FLAT_FIELDS, keep_null=True)
+    return graph.vertices(tables.posts(spark, sf_dir), FIELDS, keep_null=True)
 
 
 @_query
 def edges(spark, sf_dir):
-    return graph.edges(tables.posts(spark, sf_dir), FLAT_FIELDS)
+    return graph.edges(tables.posts(spark, sf_dir), FIELDS)
+
+
+@_query
+def network_size(spark, sf_dir):
+    return graph.network_size(tables.posts(spark, sf_dir), FIELDS)
 
 
 @_query
@@ -314,5 +328,5 @@ def closeness(spark, sf_dir):
 @_query
 def closeness_all(spark, sf_dir):
     posts = tables.posts(spark, sf_dir)
-    links = graph.edges(posts, FLAT_FIELDS)
-    return graph.closeness(graph.hop_distances(links, graph.vertices(posts, FLAT_FIELDS)))
+    links = graph.edges(posts, FIELDS)
+    return graph.closeness(graph.hop_distances(links, graph.vertices(posts, FIELDS)))

@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import NEGATIVE, POSITIVE, STOPWORDS, TOPIC_NEEDLES, TOP_WORDS
-from ..functions.tags import topic_of
-from ..functions.text import clean, count_tokens
+from ..functions.text import clean, count_tokens, tokens
 from ..operators.ranking import top_k_per_group
 from ..operators.sentiment import INLINE_ENTRIES, LABELS, Labels, Lexicon, with_sentiment
-from ..operators.topics import Topics
+from ..operators.topics import Topics, on_topic
 from ..operators.words import StopWords, most_frequent_first, without_stopwords
 from ..sources.posts import POST_FIELDS, PostFields
 
@@ -24,13 +23,11 @@ def labelled_posts(
     inline_entries: int = INLINE_ENTRIES,
 ) -> DataFrame:
     """Posts of exactly one topic, with ``topic``, ``text_cln`` and ``sentiment``."""
-    on_topic = (
-        posts.withColumn("topic", topic_of(F.col(fields.tags), topics))
-        .filter(F.col("topic").isNotNull())
-        .withColumn("text_cln", clean(F.col(fields.text)))
+    cleaned = on_topic(posts, topics, fields.tags).withColumn(
+        "text_cln", clean(F.col(fields.text))
     )
     return with_sentiment(
-        on_topic, lexicon, "text_cln", labels=labels, inline_entries=inline_entries
+        cleaned, lexicon, "text_cln", labels=labels, inline_entries=inline_entries
     )
 
 
@@ -46,42 +43,41 @@ def segment_counts(
     """``segment``, ``word``, ``count`` of each topic's raw, clean, positive and negative
     posts; segments are named ``<topic> raw`` and so on.
 
-    The posts are read once. Words are counted once per topic and text form, with the
-    positive and negative posts' counts beside the total, and each counted word is then
-    written to the segments it occurs in: one shuffle of words for all segments.
+    The posts are read once. The words of a post's raw and clean text are laid end to end
+    and told apart by position. Each word is counted once per topic, with a counter for each
+    segment, so one shuffle with one row per topic and word serves all segments.
     """
-    labelled = labelled_posts(posts, lexicon, topics, fields, labels, inline_entries)
-    raw, cleaned = F.col(fields.text), F.col("text_cln")
-    forms = F.array(
-        F.struct(F.lit("raw").alias("form"), raw.alias("text")),
-        F.struct(F.lit("clean").alias("form"), cleaned.alias("text")),
-    )
-    words = (
-        labelled.select("topic", "sentiment", F.explode(forms).alias("form"))
-        .select("topic", "sentiment", "form.form", count_tokens(F.col("form.text")).alias("words"))
-        .select("topic", "sentiment", "form", F.explode("words").alias("word"))
-    )
     positive, negative, _ = labels
-    counts = (
-        words.filter(F.col("word") != "")
-        .groupBy("topic", "form", "word")
-        .agg(
-            F.count("*").alias("total"),
-            F.count_if(F.col("sentiment") == positive).alias("positive"),
-            F.count_if(F.col("sentiment") == negative).alias("negative"),
-        )
+    posted = labelled_posts(posts, lexicon, topics, fields, labels, inline_entries).select(
+        "topic",
+        F.equal_null("sentiment", F.lit(positive)).alias("in_positive"),
+        F.equal_null("sentiment", F.lit(negative)).alias("in_negative"),
+        F.coalesce(count_tokens(F.col(fields.text)), F.array()).alias("raw_words"),
+        F.coalesce(tokens(F.col("text_cln")), F.array()).alias("clean_words"),
     )
-    counts = without_stopwords(counts, stopwords)
-    is_clean = F.col("form") == "clean"
-    parts = F.array(
-        F.struct(F.col("form").alias("kind"), F.col("total").alias("count")),
-        *[
-            F.struct(F.lit(kind).alias("kind"), F.when(is_clean, F.col(kind)).alias("count"))
-            for kind in ("positive", "negative")
-        ],
+    words = posted.select(
+        "topic",
+        "in_positive",
+        "in_negative",
+        F.size("raw_words").alias("n_raw"),
+        F.posexplode(F.concat("raw_words", "clean_words")).alias("at", "word"),
+    ).filter(F.col("word") != "")
+    is_clean = F.col("at") >= F.col("n_raw")
+    counters = {
+        "raw": ~is_clean,
+        "clean": is_clean,
+        "positive": is_clean & F.col("in_positive"),
+        "negative": is_clean & F.col("in_negative"),
+    }
+    counts = words.groupBy("topic", "word").agg(
+        *[F.count_if(condition).alias(kind) for kind, condition in counters.items()]
     )
+    by_kind = [
+        F.struct(F.lit(kind).alias("kind"), F.col(kind).alias("count")) for kind in counters
+    ]
     return (
-        counts.select("topic", "word", F.explode(parts).alias("part"))
+        without_stopwords(counts, stopwords)
+        .select("topic", "word", F.explode(F.array(*by_kind)).alias("part"))
         .filter(F.col("part.count") > 0)
         .select(
             F.concat_ws(" ", "topic", "part.kind").alias("segment"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.posts import POST_SCHEMA, PostFields
 
-FLAT_FIELDS = PostFields(
+FIELDS = PostFields(
     reshare_count="retweet_count",
     author="author",
     zone="zone",

@@ -1,19 +1,27 @@
 """Reading posts."""
 
 from .posts import (
+    FLAT_FIELDS,
     POST_FIELDS,
     POST_SCHEMA,
     PostFields,
     dedup_report,
     deduplicate,
+    distinct_flat,
+    flatten,
     read_posts,
+    row_digest,
 )
 
 __all__ = [
+    "FLAT_FIELDS",
     "POST_FIELDS",
     "POST_SCHEMA",
     "PostFields",
     "dedup_report",
     "deduplicate",
+    "distinct_flat",
+    "flatten",
     "read_posts",
+    "row_digest",
 ]

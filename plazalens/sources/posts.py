@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import dataclasses
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # --- fixed values: the fields of a post -------------------------------------
 
@@ -58,6 +60,7 @@ POST_SCHEMA = f"{_HEAD}, retweeted_status {_ORIGINAL}, {_TAIL}"
 class PostFields:
     """Where the operators find what they need; dotted paths reach into structs."""
 
+    id: str = "id"
     text: str = "text"
     created_at: str = "created_at"
     reshare_count: str = "retweet_count"
@@ -71,6 +74,8 @@ class PostFields:
 
 
 POST_FIELDS = PostFields()
+FLAT_FIELDS = PostFields(**{field.name: field.name for field in dataclasses.fields(PostFields)})
+"""The fields after `flatten`: each a column of its own name."""
 
 
 def read_posts(
@@ -82,6 +87,15 @@ def read_posts(
     return reader.json(path)
 
 
+def flatten(
+    posts: DataFrame, fields: PostFields = POST_FIELDS, more: Mapping[str, str] | None = None
+) -> DataFrame:
+    """The fields as plain columns, to be used with ``FLAT_FIELDS``; ``more`` adds columns by
+    name and path."""
+    paths = {**dataclasses.asdict(fields), **(more or {})}
+    return posts.select(*[F.col(path).alias(name) for name, path in paths.items()])
+
+
 def deduplicate(posts: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Keep one of each set of rows equal in every column (or, another result, in ``subset``).
 
@@ -91,17 +105,54 @@ def deduplicate(posts: DataFrame, subset: Sequence[str] | None = None) -> DataFr
     return posts.dropDuplicates(list(subset) if subset else None)
 
 
+def distinct_flat(
+    posts: DataFrame, fields: PostFields = POST_FIELDS, more: Mapping[str, str] | None = None
+) -> DataFrame:
+    """The result of `deduplicate` and then `flatten`, with a much smaller shuffle: whole
+    rows are compared by their digest, so only that and the flat columns move."""
+    digest = row_digest(posts).alias("__digest")
+    flat = {**(more or {}), "__digest": "__digest"}
+    return flatten(posts.select("*", digest), fields, flat).distinct().drop("__digest")
+
+
+def row_digest(df: DataFrame) -> Column:
+    """SHA-256 of all columns, the same for rows that are equal as grouping keys."""
+    columns = [_comparable(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema]
+    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    options = {"timestampFormat": f"{micros}XXX", "timestampNTZFormat": micros}
+    return F.unhex(F.sha2(F.to_json(F.struct(*columns), options), 256))
+
+
+def _comparable(col: Column, kind: T.DataType) -> Column:
+    """The column with -0.0 made 0.0, wherever it is: as grouping keys they are equal."""
+    if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        return col + F.lit(0.0).cast(kind)
+    if not _has_fractions(kind):
+        return col
+    if isinstance(kind, T.ArrayType):
+        return F.transform(col, lambda item: _comparable(item, kind.elementType))
+    inner = [_comparable(col[field.name], field.dataType).alias(field.name) for field in kind]
+    return F.when(col.isNotNull(), F.struct(*inner))
+
+
+def _has_fractions(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_fractions(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_has_fractions(field.dataType) for field in kind)
+    return isinstance(kind, (T.DoubleType, T.FloatType))
+
+
 def dedup_report(posts: DataFrame, text: str = "text") -> DataFrame:
     """One row: ``raw`` and ``deduped`` row counts, ``deduped_with_text``, and ``removed``,
     true if the last differs from the first (so rows without text count as removed).
 
-    One pass: rows are grouped with their number of copies instead of counted twice.
+    One pass: digests are grouped with their number of copies instead of counted twice.
     """
-    copies = posts.groupBy(*[F.col(f"`{name}`") for name in posts.columns]).agg(
-        F.count("*").alias("__copies")
-    )
+    rows = posts.select(row_digest(posts).alias("digest"), F.col(text).isNotNull().alias("with_text"))
+    copies = rows.groupBy("digest", "with_text").agg(F.count("*").alias("n"))
     return copies.agg(
-        F.coalesce(F.sum("__copies"), F.lit(0)).alias("raw"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("raw"),
         F.count("*").alias("deduped"),
-        F.count(text).alias("deduped_with_text"),
+        F.count_if("with_text").alias("deduped_with_text"),
     ).withColumn("removed", F.col("raw") != F.col("deduped_with_text"))

@@ -102,9 +102,9 @@ def test_tag_functions(tag_df):
     rows = tag_df.select(
         tags.joined(F.col("tags")).alias("joined"),
         tags.is_empty(F.col("tags")).alias("empty"),
-        tags.mentions(F.col("tags"), ["Obama"]).alias("mentions"),
-        tags.topic_of(F.col("tags"), topics).alias("topic"),
-        tags.topic_of(F.col("tags"), {}).alias("none"),
+        tags.mentions(tags.searchable(F.col("tags")), ["Obama"]).alias("mentions"),
+        tags.topic_of(tags.searchable(F.col("tags")), topics).alias("topic"),
+        tags.topic_of(tags.searchable(F.col("tags")), {}).alias("none"),
     ).collect()
     assert [r.joined for r in rows] == [
         "Obama", "nobama|x", "Obama|ROMNEY", "", "", "romney", "oba|ma", "obama2012"]
@@ -116,7 +116,8 @@ def test_tag_functions(tag_df):
 
 def test_topic_among_three(tag_df):
     topics = {"o": ["obama"], "r": ["romney"], "x": ["x"]}
-    rows = tag_df.select(tags.topic_of(F.col("tags"), topics).alias("topic")).collect()
+    haystack = tags.searchable(F.col("tags"))
+    rows = tag_df.select(tags.topic_of(haystack, topics).alias("topic")).collect()
     assert [r.topic for r in rows] == ["o", None, None, None, None, "r", None, "o"]
 
 

@@ -57,6 +57,12 @@ def test_vertices_and_edges(posts):
     )
 
 
+def test_network_size(posts):
+    kept = deduplicate(posts)
+    assert graph.network_size(kept).collect() == [(9, 10, 7)]
+    assert graph.network_size(kept.limit(0)).collect() == [(0, 0, 0)]
+
+
 def test_degrees(links):
     degrees = {r.id: r.degree for r in graph.degrees(links).collect()}
     expected = Counter(end for link in LINKS for end in link)

@@ -5,7 +5,16 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plazalens.sources import POST_SCHEMA, dedup_report, deduplicate, read_posts
+from plazalens.sources import (
+    FLAT_FIELDS,
+    POST_SCHEMA,
+    dedup_report,
+    deduplicate,
+    distinct_flat,
+    flatten,
+    read_posts,
+    row_digest,
+)
 from plazalens.sources.checkpoints import use_checkpoint_dir
 from tests.fixtures import POSTS
 
@@ -55,6 +64,48 @@ def test_dedup_report(spark, posts):
     assert dedup_report(posts.limit(0)).collect() == [(0, 0, 0, False)]
 
 
+def same_rows(a, b):
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_distinct_flat_is_deduplicate_then_flatten(posts):
+    more = {"country": "place.country"}
+    flat = distinct_flat(posts, more=more)
+    assert flat.columns == [*vars(FLAT_FIELDS), "country"]
+    assert same_rows(flat, flatten(deduplicate(posts), more=more))
+    # Rows that differ only in a column that is not kept stay apart.
+    assert distinct_flat(posts).filter("id = 1").count() == 2
+    twice = posts.unionAll(posts)
+    assert same_rows(distinct_flat(twice), distinct_flat(posts))
+
+
+def test_digest_is_equal_where_grouping_keys_are(spark):
+    schema = "s string, t string, a array<string>, d double, g struct<c: array<double>, f: float>"
+    rows = [
+        ("a", None, ["x"], 0.0, ([0.0, 1.0], 0.0)),
+        ("a", None, ["x"], -0.0, ([-0.0, 1.0], -0.0)),
+        (None, "a", ["x"], 0.0, ([0.0, 1.0], 0.0)),
+        ("a", "", ["x"], 0.0, ([0.0, 1.0], 0.0)),
+        ("a", None, [], 0.0, ([0.0, 1.0], 0.0)),
+        ("a", None, None, 0.0, ([0.0, 1.0], 0.0)),
+        ("a", None, [None], 0.0, ([0.0, 1.0], 0.0)),
+        ("a", None, ["x"], float("nan"), None),
+        ("a", None, ["x"], float("nan"), (None, None)),
+        ("a", None, ["x"], None, ([], None)),
+        ("a", None, ['x","y'], None, ([], None)),
+        ("a", None, ["x", "y"], None, ([], None)),
+    ]
+    df = spark.createDataFrame(rows, schema)
+    digests = df.select(row_digest(df).alias("digest"))
+    assert digests.distinct().count() == df.dropDuplicates().count() == len(rows) - 1
+    times = spark.sql(
+        "SELECT timestamp'2020-01-01 00:00:00.000001' t, timestamp_ntz'2020-01-01 00:00:00' n "
+        "UNION ALL SELECT timestamp'2020-01-01 00:00:00.000002', timestamp_ntz'2020-01-01 00:00:00' "
+        "UNION ALL SELECT timestamp'2020-01-01 00:00:00.000002', timestamp_ntz'2020-01-01 00:00:00.000001'"
+    )
+    assert times.select(row_digest(times).alias("digest")).distinct().count() == 3
+
+
 class FakeContext:
     def __init__(self, master, current=None):
         self.master, self.current = master, current
