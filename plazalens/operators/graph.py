@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -17,6 +18,8 @@ from .ranking import top_k
 # of all links, is split. So at most _MAX_SPLIT vertices are.
 _LINKS_PER_PART = 1_000_000
 _MAX_SPLIT = 10_000
+# Rounds whose pairs are kept apart before they are merged.
+_SEEN_FRAMES = 8
 
 
 def vertices(
@@ -91,25 +94,45 @@ def hop_distances(
     landmark, along the edges' direction unless ``directed=False``. A landmark is at
     distance 0 from itself; vertices that do not reach it are absent.
 
-    Breadth-first from all landmarks at once. Each round joins the newest vertices to the
-    links that end in them and keeps the pairs not seen before, with one shuffle of pairs.
-    Links are laid out once by their end, so no round shuffles them again; ends with very
-    many links are split, so no task holds a whole hub. Each round's new pairs are
+    Breadth-first from all landmarks at once. Each round joins the newest pairs to the
+    links that end in them and drops the pairs seen before. Links and seen pairs are laid
+    out once, so a round shuffles only the newest pairs and the steps taken from them; ends
+    of very many links are split, so no task holds a whole hub. Each round's new pairs are
     checkpointed: that cuts the lineage, and a lost executor costs no earlier round.
     """
     use_checkpoint_dir(links.sparkSession)
     laid_out, splits = _laid_out(links, directed)
+    newest = _at_landmarks(_landmark_table(links, landmarks), splits).checkpoint()
+    found, seen, hop = [newest], [_by_pair(newest)], 0
     try:
-        newest = _at_landmarks(_landmark_table(links, landmarks), splits).checkpoint()
-        seen = newest
-        hop = 0
-        while not newest.isEmpty() and (max_hops is None or hop < max_hops):
+        while seen[-1].count() and (max_hops is None or hop < max_hops):
             hop += 1
             newest = _next_hop(laid_out, newest, seen, hop).checkpoint()
-            seen = seen.unionByName(newest)
+            found.append(newest)
+            seen.append(_by_pair(newest))
+            if len(seen) > _SEEN_FRAMES:
+                seen[-1].count()
+                found = [_union(found).checkpoint()]
+                merged = _by_pair(found[0])
+                merged.count()
+                while seen:
+                    seen.pop().unpersist()
+                seen.append(merged)
     finally:
-        laid_out.unpersist()
-    return seen.select("landmark", "id", "distance")
+        for frame in [laid_out, *seen]:
+            frame.unpersist()
+    return _union(found).select("landmark", "id", "distance")
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _by_pair(pairs: DataFrame) -> DataFrame:
+    """Pairs laid out for joins with steps: neither shuffled nor sorted again by them."""
+    keys = ["landmark", "id"]
+    laid_out = pairs.select(*keys).repartition(*keys).sortWithinPartitions(*keys)
+    return laid_out.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _at_landmarks(landmarks: DataFrame, splits: DataFrame) -> DataFrame:
@@ -121,7 +144,7 @@ def _at_landmarks(landmarks: DataFrame, splits: DataFrame) -> DataFrame:
     )
 
 
-def _next_hop(links: DataFrame, newest: DataFrame, seen: DataFrame, hop: int) -> DataFrame:
+def _next_hop(links: DataFrame, newest: DataFrame, seen: list[DataFrame], hop: int) -> DataFrame:
     """The pairs reached in ``hop`` edges and in no fewer. Tasks merge repeated pairs
     before the shuffle."""
     reached = newest.select(
@@ -129,18 +152,14 @@ def _next_hop(links: DataFrame, newest: DataFrame, seen: DataFrame, hop: int) ->
         F.col("id").alias("dst"),
         F.explode(F.sequence(F.lit(1), "parts")).alias("part"),
     )
-    step = links.join(reached, ["dst", "part"]).select(
-        "landmark",
-        F.col("src").alias("id"),
-        F.col("src_parts").alias("parts"),
-        F.lit(hop).alias("distance"),
-    )
-    return (
-        seen.unionByName(step)
-        .groupBy("landmark", "id")
-        .agg(F.max("parts").alias("parts"), F.min("distance").alias("distance"))
-        .filter(F.col("distance") == hop)
+    steps = (
+        links.join(reached, ["dst", "part"])
+        .groupBy("landmark", F.col("src").alias("id"))
+        .agg(F.max("src_parts").alias("parts"))
     )
+    for pairs in seen:
+        steps = steps.join(pairs, ["landmark", "id"], "left_anti")
+    return steps.withColumn("distance", F.lit(hop))
 
 
 def closeness(distances: DataFrame) -> DataFrame:
