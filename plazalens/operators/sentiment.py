@@ -19,8 +19,9 @@ Labels = tuple[str, str, str]
 LABELS: Labels = (POSITIVE, NEGATIVE, NEUTRAL)
 
 # A lexicon table of at most this many entries is read once and tested as a hash set
-# inside each row. A larger one is joined.
+# inside each row. A larger one is joined to the words, by broadcast up to the second size.
 INLINE_ENTRIES = 20_000
+BROADCAST_ENTRIES = 500_000
 _SPREAD = 16
 
 
@@ -109,8 +110,8 @@ def _with_joined_sentiment(
     """The label by joins, for a lexicon too large for the plan.
 
     Scores belong to texts, known by their SHA-256. A text posted n times scores n times as
-    much, with the same sign. Both joins are salted by row, so neither a word in a third of
-    all texts nor a text posted a third of the time ends up in one task.
+    much, with the same sign. Shuffled joins are salted by row, so neither a word in a third
+    of all texts nor a text posted a third of the time ends up in one task.
     """
     salts = F.explode(F.sequence(F.lit(0), F.lit(_SPREAD - 1))).alias("__salt")
     salt = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in df.columns]), F.lit(_SPREAD))
@@ -119,22 +120,17 @@ def _with_joined_sentiment(
         F.unhex(F.sha2(column, 256)).alias("__digest"),
         F.coalesce(salt.cast("int"), F.lit(0)).alias("__salt"),
     )
-    polarity = (
-        entries.groupBy("word")
-        .agg(F.sum("polarity").alias("polarity"))
-        .filter("polarity != 0")
-        .select("word", "polarity", salts)
-    )
-    scores = (
-        rows.select("__digest", "__salt", F.explode(words).alias("word"))
-        .join(polarity, ["word", "__salt"])
-        .groupBy("__digest")
-        .agg(F.sum("polarity").alias("__score"))
-        .select("__digest", "__score", salts)
-    )
+    polarity = entries.groupBy("word").agg(F.sum("polarity").alias("polarity"))
+    polarity = polarity.filter("polarity != 0")
+    said = rows.select("__digest", "__salt", F.explode(words).alias("word"))
+    if entries.count() <= BROADCAST_ENTRIES:
+        hits = said.join(F.broadcast(polarity), "word")
+    else:
+        hits = said.join(polarity.select("*", salts), ["word", "__salt"])
+    scores = hits.groupBy("__digest").agg(F.sum("polarity").alias("__score"))
     score = F.when(F.col(column).isNotNull(), F.coalesce("__score", F.lit(0)))
     return (
-        rows.join(scores, ["__digest", "__salt"], "left")
+        rows.join(scores.select("*", salts), ["__digest", "__salt"], "left")
         .withColumn("__score", score)
         .withColumn(out, label_of("__score", labels))
         .drop("__digest", "__salt", "__score")

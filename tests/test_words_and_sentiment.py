@@ -66,8 +66,11 @@ def test_other_labels(texts):
     assert labels_of(df, labels=("up", "down", "level")) == ["up", "down", "level"]
 
 
-@pytest.mark.parametrize("inline_entries", [0, 3, 1000])
-def test_joined_and_inlined_lexicon_agree_with_a_count(spark, inline_entries):
+@pytest.mark.parametrize("inline_entries, broadcast_entries", [(0, 0), (3, 1000), (1000, 0)])
+def test_joined_and_inlined_lexicon_agree_with_a_count(
+    spark, monkeypatch, inline_entries, broadcast_entries
+):
+    monkeypatch.setattr(sentiment, "BROADCAST_ENTRIES", broadcast_entries)
     rng = random.Random(7)
     vocabulary = [f"w{n}" for n in range(60)]
     # A third of the rows share one text and a third of all words are one word.
