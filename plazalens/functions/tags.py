@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
@@ -20,19 +21,20 @@ def is_empty(tags: Column) -> Column:
 
 
 def searchable(tags: Column) -> Column:
-    """The joined tags in lower case: what the tests below search. Operators put it into a
-    column of its own, so it is built once per row."""
+    """The joined tags in lower case: what the tests below search."""
     return F.lower(joined(tags))
 
 
-def mentions(haystack: Column, needles: Iterable[str]) -> Column:
-    """True if some tag holds one of the needles, in any letter case.
-
-    A needle that contains another one can match nothing new and is left out.
-    """
+def _needles(needles: Iterable[str]) -> list[str]:
+    """The needles in lower case, without those that contain another one: they can match
+    nothing new."""
     wanted = sorted({needle.lower() for needle in needles})
-    wanted = [n for n in wanted if not any(o != n and o in n for o in wanted)]
-    tests = [haystack.contains(needle) for needle in wanted]
+    return [n for n in wanted if not any(o != n and o in n for o in wanted)]
+
+
+def mentions(haystack: Column, needles: Iterable[str]) -> Column:
+    """True if some tag holds one of the needles, in any letter case."""
+    tests = [haystack.contains(needle) for needle in _needles(needles)]
     return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
@@ -42,3 +44,21 @@ def topic_of(haystack: Column, topics: Mapping[str, Iterable[str]]) -> Column:
     names = [F.when(hit, F.lit(name)) for name, hit in hits.items()]
     matching = reduce(lambda a, b: a + b, [hit.cast("int") for hit in hits.values()], F.lit(0))
     return F.when(matching == 1, F.coalesce(*names, F.lit(None).cast("string")))
+
+
+def on_one_topic(
+    haystack: Column, topics: Mapping[str, Iterable[str]], among: Iterable[str] | None = None
+) -> Column:
+    """True where `topic_of` is one of the topics, or of those named in ``among``.
+
+    This is one regex, so that a filter builds the haystack once per row: Spark moves the
+    filter down to the scan, below the removal of duplicates, where most rows are dropped.
+    """
+    found = {name: "|".join(map(re.escape, _needles(n))) for name, n in topics.items()}
+    found = {name: f".*(?:{pattern})" for name, pattern in found.items() if pattern}
+    alone = [
+        f"(?={found[name]})" + "".join(f"(?!{found[o]})" for o in found if o != name)
+        for name in (topics if among is None else among)
+        if name in found
+    ]
+    return haystack.rlike(f"(?s)^(?:{'|'.join(alone)})") if alone else F.lit(False)

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import TOPIC_NEEDLES
-from ..functions.once import once
-from ..functions.tags import searchable, topic_of
+from ..functions.tags import on_one_topic, searchable, topic_of
 from ..sources.posts import POST_FIELDS, PostFields
 from .profile import kind_aggregates
 
@@ -21,15 +20,14 @@ def with_topic(
 ) -> DataFrame:
     """Add ``topic``, NULL for posts that mention no topic or several. Give the original's
     tag column to label reshares by what they reshare."""
-    searched = posts.withColumn("__tags", searchable(F.col(tags)))
-    return searched.withColumn("topic", once(topic_of(F.col("__tags"), topics))).drop("__tags")
+    return posts.withColumn("topic", topic_of(searchable(F.col(tags)), topics))
 
 
 def on_topic(
     posts: DataFrame, topics: Topics = TOPIC_NEEDLES, tags: str = POST_FIELDS.tags
 ) -> DataFrame:
     """The posts of exactly one topic, with ``topic``."""
-    return with_topic(posts, topics, tags).filter(F.col("topic").isNotNull())
+    return with_topic(posts.filter(on_one_topic(searchable(F.col(tags)), topics)), topics, tags)
 
 
 def topic_posts(
@@ -39,7 +37,7 @@ def topic_posts(
     tags: str = POST_FIELDS.tags,
 ) -> DataFrame:
     """The posts of one topic and no other."""
-    return with_topic(posts, topics, tags).filter(F.col("topic") == topic)
+    return posts.filter(on_one_topic(searchable(F.col(tags)), topics, among=[topic]))
 
 
 def source_topic_sum(
@@ -64,7 +62,9 @@ def topic_report(
     flat = PostFields(
         source_author="source_author", reply_to="reply_to", reshare_count="reshare_count"
     )
-    searched = posts.select(
+    tagged = F.col(fields.tags), F.col(fields.source_tags)
+    on_own, on_source = (on_one_topic(searchable(tags), topics) for tags in tagged)
+    searched = posts.filter(on_own | on_source).select(
         searchable(F.col(fields.tags)).alias("own_tags"),
         searchable(F.col(fields.source_tags)).alias("source_tags"),
         F.col(fields.source_author).alias(flat.source_author),

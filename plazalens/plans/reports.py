@@ -21,10 +21,11 @@ def labelled_posts(
     fields: PostFields = POST_FIELDS,
     labels: Labels = LABELS,
     inline_entries: int = INLINE_ENTRIES,
+    everywhere: bool = False,
 ) -> DataFrame:
     """Posts of exactly one topic, with ``topic``, ``text_cln`` and ``sentiment``."""
     cleaned = on_topic(posts, topics, fields.tags).withColumn(
-        "text_cln", clean(F.col(fields.text))
+        "text_cln", clean(F.col(fields.text), everywhere)
     )
     return with_sentiment(
         cleaned, lexicon, "text_cln", labels=labels, inline_entries=inline_entries
@@ -39,6 +40,7 @@ def segment_counts(
     fields: PostFields = POST_FIELDS,
     labels: Labels = LABELS,
     inline_entries: int = INLINE_ENTRIES,
+    everywhere: bool = False,
 ) -> DataFrame:
     """``segment``, ``word``, ``count`` of each topic's raw, clean, positive and negative
     posts; segments are named ``<topic> raw`` and so on.
@@ -48,7 +50,10 @@ def segment_counts(
     segment, so one shuffle with one row per topic and word serves all segments.
     """
     positive, negative, _ = labels
-    posted = labelled_posts(posts, lexicon, topics, fields, labels, inline_entries).select(
+    labelled = labelled_posts(
+        posts, lexicon, topics, fields, labels, inline_entries, everywhere
+    )
+    posted = labelled.select(
         "topic",
         F.equal_null("sentiment", F.lit(positive)).alias("in_positive"),
         F.equal_null("sentiment", F.lit(negative)).alias("in_negative"),

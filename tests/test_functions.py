@@ -1,3 +1,7 @@
+import random
+import re
+import string
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +77,29 @@ def test_long_links_and_entity_lists_do_not_overflow(texts):
     assert cleaned(texts(f"{link} {entities} end")) == ["end"]
 
 
+LINK = re.compile(r"https?:(?://|\\)+(?:[\w:#@%/;$()~?+-=\\.&](?:#!)?)*")
+GAP = re.compile("[" + re.escape("".join(set(string.punctuation) - set("@#"))) + r"\s\x1c-\x1f]+")
+
+
+def words_of(text):
+    return " ".join(word for word in GAP.split(text) if word and word[0] not in "@#")
+
+
+@pytest.mark.parametrize("everywhere", [False, True])
+def test_clean_agrees_with_python_on_random_texts(texts, everywhere):
+    rng = random.Random(11)
+    pieces = [*"abZ9_éÀß²½Ⅷ中٣ @#!/\\:.,'-~+=&%\t\n\r\x0b\x1c\x85\u00a0\u2009\u2028\u3000",
+              "http://", "https:\\", "HTTP:", "#!", "a.b/", "http://a", " ", " ", "@x ", "#y "]
+    raw = ["".join(rng.choices(pieces, k=rng.randint(0, 40))) for _ in range(3_000)]
+    expected = []
+    for text in map(str.lower, raw):
+        if everywhere:
+            for link in [match.group() for match in LINK.finditer(text)]:
+                text = text.replace(link, ", ")
+        expected.append(words_of(text if everywhere else LINK.sub(", ", text)))
+    assert cleaned(texts(*raw), everywhere) == expected
+
+
 def test_count_tokens_split_at_ascii_blanks_only(texts):
     df = texts(f"A\tb{NBSP}c  d").select(text.count_tokens(F.col("text")).alias("t"))
     assert df.first().t == ["a", f"b{NBSP}c", "d"]
@@ -114,6 +141,30 @@ def test_tag_functions(tag_df):
     assert {r.none for r in rows} == {None}
 
 
+@pytest.mark.parametrize(
+    "topics",
+    [
+        {},
+        {"o": ("obama", "obama2012"), "r": ("romney",)},
+        {"o": ["Obama"], "r": ["romney"], "x": ["x"]},
+        {"none": [], "o": ["OBAMA"]},
+        {"bar": ["|"], "dot": ["a.a"], "o": ["oba"]},
+    ],
+)
+def test_topic_filters_agree_with_the_label(spark, topics):
+    rows = [(["Obama"],), (["nobama", "x"],), (["Obama", "ROMNEY"],), ([],), (None,), (["a.A"],),
+            ([None, "romney"],), (["oba", "ma"],), (["obama2012", "line\nbreak"],), (["\nX"],)]
+    df = spark.createDataFrame(rows, "tags array<string>")
+    haystack = tags.searchable(F.col("tags"))
+    for among in [None, *([name] for name in topics)]:
+        rows = df.select(
+            tags.topic_of(haystack, topics).alias("topic"),
+            tags.on_one_topic(haystack, topics, among).alias("on"),
+        ).collect()
+        wanted = set(topics if among is None else among)
+        assert [row.on for row in rows] == [row.topic in wanted for row in rows]
+
+
 def test_topic_among_three(tag_df):
     topics = {"o": ["obama"], "r": ["romney"], "x": ["x"]}
     haystack = tags.searchable(F.col("tags"))

@@ -6,8 +6,10 @@ import os
 
 import pytest
 
-from plazalens.operators import graph, words
+from plazalens.operators import graph, profile, sentiment, topics, words
+from plazalens.plans import reports
 from plazalens.plans.queries import QUERIES
+from plazalens.sources import FLAT_FIELDS, POST_FIELDS, deduplicate, distinct_flat
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -100,6 +102,24 @@ def test_a_hop_shuffles_neither_links_nor_seen_pairs(spark):
     assert text.count("LeftAnti") == 2 and text.count("SortMergeJoin") == 3
 
 
+@pytest.mark.parametrize("distinct", [deduplicate, distinct_flat])
+def test_filters_run_before_duplicates_are_removed(posts, distinct):
+    fields = POST_FIELDS if distinct is deduplicate else FLAT_FIELDS
+    kept = profile.in_zone(distinct(posts), fields=fields)
+    for report in (
+        topics.on_topic(kept, tags=fields.tags),
+        topics.topic_posts(kept, "obama", tags=fields.tags),
+        topics.source_topic_sum(kept, fields=fields),
+        topics.topic_report(kept, fields=fields),
+        sentiment.sentiment_kinds(reports.labelled_posts(kept, {"good": 1}, fields=fields), fields),
+    ):
+        text = plan(report)
+        scan = text[text.rindex("Exchange"):]
+        assert "RLIKE" in scan and "Contains(" in scan
+        if distinct is distinct_flat:
+            assert scan.index("sha2(") < scan.index("RLIKE")
+
+
 def test_large_stop_table_is_joined_after_counting(spark):
     df = spark.createDataFrame([("a b",)], "text string")
     stop = spark.range(10).selectExpr("string(id) AS word")
