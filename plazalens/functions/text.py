@@ -47,7 +47,12 @@ def count_tokens(col: Column) -> Column:
     return F.split(F.lower(col), f"{ASCII_BLANK}+")
 
 
+def token_gap(cleaned: bool = True) -> str:
+    """What separates the words of a cleaned text, or else of any text: blanks of any
+    script. Cleaned text splits on one plain character, which needs no regex."""
+    return " " if cleaned else f"[{ANY_BLANK}]+"
+
+
 def tokens(col: Column, cleaned: bool = True) -> Column:
-    """Words of a cleaned text, or else between blanks of any script. Cleaned text splits
-    on one plain character, which needs no regex."""
-    return F.split(col, " " if cleaned else f"[{ANY_BLANK}]+")
+    """Words of a cleaned text, or of any text."""
+    return F.split(col, token_gap(cleaned))

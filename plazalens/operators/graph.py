@@ -111,7 +111,6 @@ def hop_distances(
             found.append(newest)
             seen.append(_by_pair(newest))
             if len(seen) > _SEEN_FRAMES:
-                seen[-1].count()
                 found = [_union(found).checkpoint()]
                 merged = _by_pair(found[0])
                 merged.count()

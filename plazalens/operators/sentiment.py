@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed_values import NEGATIVE, NEUTRAL, POSITIVE
 from ..functions.once import once
-from ..functions.text import tokens
+from ..functions.text import token_gap, tokens
 from ..sources.posts import POST_FIELDS, PostFields
 from .profile import is_reshare
 
@@ -48,7 +48,7 @@ def label_of(score: str, labels: Labels = LABELS) -> Column:
 
 
 def score_sql(words: str, entries: Iterable[tuple[str, int]]) -> str:
-    """SQL of the summed polarity of a column of words, for entries that fit in the plan.
+    """SQL of the summed polarity of an array of words, for entries that fit in the plan.
 
     An entry listed twice counts once; a word with several polarities counts with each.
     Thousands of literals go to the parser as one string, not one by one through the
@@ -89,19 +89,19 @@ def with_sentiment(
     inside each row: no shuffle. At most that many rows ever reach the driver. A larger
     table is joined, with the same result.
     """
-    words = tokens(F.col(column), cleaned)
     if isinstance(lexicon, DataFrame):
         entries = lexicon.select("word", "polarity").dropna().distinct()
         head = entries.limit(inline_entries + 1).collect()
         if len(head) > inline_entries:
+            words = tokens(F.col(column), cleaned)
             return _with_joined_sentiment(df, entries, column, words, out, labels)
         lexicon = [(row.word, row.polarity) for row in head]
     elif isinstance(lexicon, Mapping):
         lexicon = lexicon.items()
-    scored = df.withColumn("__words", words).withColumn(
-        "__score", once(F.expr(score_sql("__words", lexicon)))
-    )
-    return scored.withColumn(out, label_of("__score", labels)).drop("__words", "__score")
+    text = f"`{column}`" if column in df.columns else column
+    score = score_sql(f"split({text}, {_literal(token_gap(cleaned))})", lexicon)
+    scored = df.withColumn("__score", once(F.expr(score)))
+    return scored.withColumn(out, label_of("__score", labels)).drop("__score")
 
 
 def _with_joined_sentiment(
