@@ -166,7 +166,10 @@ _POST_LINKS = f"""{_POSTS}, links AS (
 _DEGREES = """degrees AS (
   SELECT id, count(*) AS degree
   FROM (SELECT src AS id FROM links UNION ALL SELECT dst FROM links) GROUP BY id)"""
-_SHARE = "round(degree / (SELECT count(*) FROM links) * 100, 2) AS fract_degree"
+# Half up on the decimal digits of the double, as the share is defined; rounding the double
+# itself puts values like 1.035 on either side.
+_SHARE = """round((degree / (SELECT count(*) FROM links) * 100)::VARCHAR::DECIMAL(30, 18), 2)::DOUBLE
+  AS fract_degree"""
 _TOP_IDS = f"""{_DEGREES}, landmarks AS (
   SELECT id FROM degrees ORDER BY degree DESC, id LIMIT {TOP_VERTICES})"""
 _ALL_IDS = """landmarks AS (
