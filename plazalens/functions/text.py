@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from .fixed_values import ANY_BLANK, ASCII_BLANK, LINK_PATTERN, SEPARATORS
 
-# One pass over the text: a run of blanks and punctuation, with any entities in it. Possessive
-# quantifiers keep the matcher iterative: a plain repeated group recurses once per
-# repetition in Java and overflows the stack on very long links or lists of entities.
+# One pass over the text: a run of blanks and punctuation, with any entities in it, unless it
+# is the one blank it would become (most are). Possessive quantifiers keep the matcher
+# iterative: a plain repeated group recurses once per repetition in Java and overflows the
+# stack on very long links or lists of entities.
 _GAP = re.escape(SEPARATORS) + ANY_BLANK
-_GAPS_AND_ENTITIES = rf"[{_GAP}]++(?:[@#][^{_GAP}]*+[{_GAP}]*+)*+"
+_GAPS_AND_ENTITIES = rf"(?! [^{_GAP}@#])[{_GAP}]++(?:[@#][^{_GAP}]*+[{_GAP}]*+)*+"
 
 
 def strip_links(col: Column, everywhere: bool = False) -> Column:
