@@ -20,7 +20,7 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
     current = context.getCheckpointDir()
     shared = spark.conf.get(_SETTING, None)
     if shared:
-        if current is None or shared.rstrip("/") not in current:
+        if current is None or f"{shared.rstrip('/')}/" not in f"{current}/":
             context.setCheckpointDir(shared)
     elif current is None:
         if not context.master.startswith("local"):

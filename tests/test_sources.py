@@ -134,6 +134,9 @@ def test_checkpoints_go_to_the_shared_folder():
     context.current = "hdfs://shared/cp/0f-11"
     use_checkpoint_dir(FakeSession(context, "hdfs://shared/cp/"))
     assert context.current == "hdfs://shared/cp/0f-11"
+    context.current = "hdfs://shared/cp2/0f-11"
+    use_checkpoint_dir(FakeSession(context, "hdfs://shared/cp"))
+    assert context.current == "hdfs://shared/cp"
 
 
 def test_checkpoints_without_a_setting():
