@@ -111,10 +111,13 @@ def test_split_hubs_change_nothing(spark, monkeypatch, directed):
     assert got == distances_by_hand(rows, landmarks, directed)
 
 
-def test_a_long_chain(spark):
+def test_a_long_chain_merges_its_rounds_and_keeps_nothing_cached(spark):
     rows = [(n + 1, n) for n in range(25)]
     links = spark.createDataFrame(rows, "src bigint, dst bigint")
-    assert as_dict(graph.hop_distances(links, [0])) == {(0, n): n for n in range(26)}
+    cached = len(spark.sparkContext._jsc.getPersistentRDDs())
+    distances = graph.hop_distances(links, [0])
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == cached
+    assert as_dict(distances) == {(0, n): n for n in range(26)}
 
 
 def test_closeness(spark, links):
