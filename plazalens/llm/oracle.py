@@ -2,9 +2,94 @@
 
 from __future__ import annotations
 
+from .quality import ALPHA, DELTA, RULES
+
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_BLANKS = r"[\x20\x09-\x0D]"
+
+
+def _cutoffs() -> str:
+    """The cutoffs tried, as rows (rule, i, cutoff)."""
+    return ", ".join(
+        f"('{rule}', {i}, {cutoff})"
+        for rule, (_, _, tried) in RULES.items()
+        for i, cutoff in enumerate(tried)
+    )
+
+
+def _rejected() -> str:
+    return " OR ".join(
+        f"coalesce(1000 * {numerator} > max_{rule} * {denominator}, false)"
+        for rule, (numerator, denominator, _) in RULES.items()
+    )
+
+
+def _ratios() -> str:
+    return " UNION ALL ".join(
+        f"SELECT stratum, '{rule}' AS rule, {numerator} AS a, {denominator} AS b FROM held"
+        for rule, (numerator, denominator, _) in RULES.items()
+    )
+
+
+_QUALITY = rf"""
+    WITH w AS (SELECT doc_id, lang AS stratum, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
+    win AS (SELECT doc_id, unnest(range(1, len(w) - 6)) AS i, w FROM w WHERE len(w) > 8),
+    win2 AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i + 7], ' ')) AS n FROM win),
+    rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM
+        (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM win2 WHERE n > 1) GROUP BY doc_id),
+    lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w),
+    dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines
+        WHERE regexp_matches(line, '[^ 	-]') GROUP BY doc_id),
+    f AS (SELECT doc_id, stratum, len(w) AS n_words,
+        length(regexp_replace(text, '{_BLANKS}', '', 'g')) AS word_chars,
+        length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+        coalesce(dup.n, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words
+        FROM w LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id)),
+    b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM f),
+    held AS (SELECT * FROM b WHERE NOT base_failed
+        AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
+    ratios AS ({_ratios()}),
+    tried(rule, i, cutoff) AS (VALUES {_cutoffs()}),
+    cells AS (SELECT stratum, rule, i, cutoff, count(*) AS n,
+        count(*) FILTER (1000 * a > cutoff * b) AS k FROM ratios JOIN tried USING (rule) GROUP BY ALL),
+    tail AS (SELECT *, CASE WHEN k >= n * {ALPHA / len(RULES)!r} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1),
+        lambda x: exp(lgamma(n + 1.0) - lgamma(x + 1.0) - lgamma(n - x + 1.0)
+            + x * ln({ALPHA / len(RULES)!r}) + (n - x) * ln(1 - {ALPHA / len(RULES)!r})))) END AS p FROM cells),
+    passed AS (SELECT *, bool_and(p <= {DELTA!r} / ({len(RULES)} * (SELECT count(*) FROM (SELECT DISTINCT stratum FROM held))))
+        OVER (PARTITION BY stratum, rule ORDER BY i) AS ok FROM tail),
+    best AS (SELECT stratum, {", ".join(f"min(cutoff) FILTER (rule = '{rule}') AS max_{rule}" for rule in RULES)}
+        FROM passed WHERE ok GROUP BY stratum)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        NOT base_failed AND NOT ({_rejected()}) AS kept,
+        {", ".join(f"max_{rule}" for rule in RULES)}
+    FROM b LEFT JOIN best ON b.stratum IS NOT DISTINCT FROM best.stratum"""
+
+_MIXING = rf"""
+    WITH RECURSIVE d AS (SELECT doc_id, source, len({_WORDS}) AS size,
+        ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM documents),
+    s AS (SELECT source, sum(size)::BIGINT AS source_size,
+        (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1 AS weight FROM d GROUP BY source),
+    level(l, round) AS (SELECT 0.0::DOUBLE, 0 UNION ALL
+        SELECT ((SELECT sum(source_size) FROM s)
+            - (SELECT coalesce(sum(3 * source_size) FILTER (weight * l > 3 * source_size), 0) FROM s))::DOUBLE
+            / (SELECT sum(weight) FILTER (NOT weight * l > 3 * source_size) FROM s), round + 1
+        FROM level WHERE round < 50 AND EXISTS (SELECT 1 FROM s WHERE NOT weight * l > 3 * source_size)),
+    t AS (SELECT *, least(weight * (SELECT max(l) FROM level), (3 * source_size)::DOUBLE) AS target FROM s),
+    e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target)::BIGINT // source_size ELSE 0 END AS times FROM t),
+    g AS (SELECT source, source_size, target, times, floor(target)::BIGINT - times * source_size AS rest FROM e),
+    c AS (SELECT doc_id, size, source_size, target, times, rest, h,
+        sum(size) OVER (PARTITION BY d.source ORDER BY h) AS reached,
+        sum(size) OVER (PARTITION BY d.source, h) AS held
+        FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
+    SELECT doc_id, size, source_size, target, (times * size + CASE WHEN reached <= rest THEN size
+        WHEN reached - held < rest THEN (rest - reached + held) * size // held ELSE 0 END)::BIGINT AS taken
+    FROM c"""
+
 ORACLE: dict[str, str] = {
+    "op4_quality_rules": _QUALITY,
+    "op5_mixing": _MIXING,
     "op7_exact_dedup": rf"""
         WITH n AS (SELECT doc_id, {_NORMAL} AS body FROM documents)
         SELECT doc_id,

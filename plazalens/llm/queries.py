@@ -6,13 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, near_dedup
+from . import exact_dedup, langid, mixing, near_dedup, quality
 from .common import ship, table
 
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -30,5 +42,5 @@ def _shipped(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {
-    query.__name__: _shipped(query) for query in (op7_exact_dedup, op9_near_dedup)
+    query.__name__: _shipped(query) for query in (op1_language_id, op4_quality_rules, op5_mixing, op7_exact_dedup, op9_near_dedup)
 }
