@@ -33,12 +33,12 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
+def kept(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """The table written to the shared folder and read again: it is worked out once, and an
     executor that is lost takes nothing of it away."""
     spark = df.sparkSession
     folder = shared_folder(spark, name)
-    df.write.parquet(folder)
+    df.write.parquet(folder, compression=compression)
     return spark.read.schema(df.schema).parquet(folder)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, langid, mixing, near_dedup, quality
+from . import blocks, exact_dedup, langid, mixing, near_dedup, packing, quality
 from .common import ship, table
 
 
@@ -17,6 +17,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pieces(packing.pack(table(spark, sf_dir, "documents")))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -25,6 +29,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op6_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, index = blocks.write_ids(table(spark, sf_dir, "documents"))
+    return blocks.read_ids(folder, index).drop("ids")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -42,5 +51,5 @@ def _shipped(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {
-    query.__name__: _shipped(query) for query in (op1_language_id, op4_quality_rules, op5_mixing, op7_exact_dedup, op9_near_dedup)
+    query.__name__: _shipped(query) for query in (op1_language_id, op2_packing, op4_quality_rules, op5_mixing, op6_token_blocks, op7_exact_dedup, op9_near_dedup)
 }
