@@ -7,7 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.checkpoints import use_checkpoint_dir
@@ -47,6 +47,28 @@ def parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def with_place(df: DataFrame, by: list[str], order: list[Column], out: str) -> DataFrame:
+    """Add the rows' places, from 1, in an order within each group of plain columns ``by``, or
+    within the whole table.
+
+    No task sees a whole group: the rows are dealt out by ranges of group and order, and a row's
+    place is its place in its range after the rows of its group in the ranges before. Only the
+    number of rows of each group and range meet.
+    """
+    keys = [F.col(name) for name in by]
+    dealt = df.repartitionByRange(parts(df), *keys, *order).withColumn("__range", F.spark_partition_id())
+    dealt = kept(dealt, "ranges")
+    inside = F.row_number().over(Window.partitionBy("__range", *by).orderBy(*order))
+    before = Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy("__range", *by).agg(F.count("*").alias("__n"))
+    counts = counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    placed = dealt.withColumn("__inside", inside)
+    other = counts.withColumnsRenamed({name: f"__{name}" for name in by} | {"__range": "__at"})
+    on = [F.col("__range") == F.col("__at"), *[F.col(name).eqNullSafe(F.col(f"__{name}")) for name in by]]
+    both = placed.join(other, on)
+    return both.select(*df.columns, (F.col("__before") + F.col("__inside")).alias(out))
+
+
 _PACKAGE = Path(__file__).resolve().parent.parent
 
 

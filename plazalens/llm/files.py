@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyarrow import fs
+from collections import OrderedDict
+
+from pyarrow import NativeFile, fs
 
 
 def open_folder(address: str) -> tuple[fs.FileSystem, str]:
@@ -37,18 +39,22 @@ class Writer:
 
 
 class Reader:
-    """Range reads from the files of one folder; the last file stays open."""
+    """Range reads from the files of one folder; the files read last stay open."""
+
+    _OPEN = 16
 
     def __init__(self, folder: str):
         self._fs, self._path = open_folder(folder)
-        self._name, self._in = None, None
-
-    def _open(self, name: str):
-        if name != self._name:
-            if self._in is not None:
-                self._in.close()
-            self._in, self._name = self._fs.open_input_file(f"{self._path}/{name}"), name
-        return self._in
+        self._files: OrderedDict[str, NativeFile] = OrderedDict()
+
+    def _open(self, name: str) -> NativeFile:
+        if name in self._files:
+            self._files.move_to_end(name)
+        else:
+            if len(self._files) >= self._OPEN:
+                self._files.popitem(last=False)[1].close()
+            self._files[name] = self._fs.open_input_file(f"{self._path}/{name}")
+        return self._files[name]
 
     def size(self, name: str) -> int:
         return self._open(name).size()

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import kept, parts, words
+from .common import kept, with_place, words
 
 HASH_BITS = 60
 LEVEL_BITS = 10
@@ -43,18 +43,9 @@ def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 
 
 def cyclic_weights(sources: DataFrame, cycle: int = 3) -> DataFrame:
-    """Weights 1, 2, ... ``cycle``, 1, ... for sources by code point, NULL last.
-
-    The sources are ranked within ranges, and a range's first rank is the number of sources in
-    the ranges before it; only the ranges' sizes, one row per partition, meet in one task.
-    """
-    ranges = sources.repartitionByRange(parts(sources), F.col("source").asc_nulls_last())
-    ranges = kept(ranges.withColumn("range", F.spark_partition_id()), "sources")
-    counts = ranges.groupBy("range").agg(F.count("*").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    in_range = F.row_number().over(Window.partitionBy("range").orderBy(F.col("source").asc_nulls_last()))
-    ranked = ranges.withColumn("rank", in_range).join(counts.select("range", before.alias("before")), "range")
-    return ranked.withColumn("weight", (F.col("before") + F.col("rank") - 1) % cycle + 1).drop("range", "rank", "before")
+    """Weights 1, 2, ... ``cycle``, 1, ... for sources by code point, NULL last."""
+    placed = with_place(sources, [], [F.col("source").asc_nulls_last()], "place")
+    return placed.withColumn("weight", (F.col("place") - 1) % cycle + 1).drop("place")
 
 
 def with_targets(sources: DataFrame, cap: int = CAP) -> DataFrame:

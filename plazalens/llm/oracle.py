@@ -41,7 +41,8 @@ _QUALITY = rf"""
         (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM win2 WHERE n > 1) GROUP BY doc_id),
     lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w),
     dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines
-        WHERE regexp_matches(line, '[^ 	-]') GROUP BY doc_id),
+        WHERE regexp_matches(line, '[^ 	-
+]') GROUP BY doc_id),
     f AS (SELECT doc_id, stratum, len(w) AS n_words,
         length(regexp_replace(text, '{_BLANKS}', '', 'g')) AS word_chars,
         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
@@ -87,7 +88,41 @@ _MIXING = rf"""
         WHEN reached - held < rest THEN (rest - reached + held) * size // held ELSE 0 END)::BIGINT AS taken
     FROM c"""
 
+_TOOL_CALLS = r"""
+    WITH RECURSIVE t AS (SELECT *, length(coalesce(text, '')) AS n, coalesce(role = 'assistant', false) AS said,
+        'call_' || conv_id || '_' || turn AS id, 'call_' || conv_id || '_' || (turn - 1) AS before,
+        'call_' || conv_id || '_' || (turn - 2) AS two FROM conversations),
+    c AS (SELECT conv_id, turn, id, ['search', 'read', 'count', 'search', 'read', 'search', 'draw'][n % 7 + 1] AS name,
+        n % 13 <> 0 AS parsed, n % 11 <> 0 AS has_query, n % 5 <> 0 AS number, n, text,
+        CASE WHEN n % 2 = 0 THEN two END AS needs FROM t WHERE said),
+    p AS (SELECT c.*, o.id AS up FROM c LEFT JOIN c o ON c.needs = o.id),
+    l AS (SELECT id, 0 AS level FROM p WHERE up IS NULL
+        UNION ALL SELECT p.id, l.level + 1 FROM l JOIN p ON p.up = l.id),
+    r AS (SELECT before AS id, conv_id, turn, text FROM t WHERE NOT said),
+    e AS (SELECT p.*, level, CASE
+        WHEN NOT parsed THEN 'not an object'
+        WHEN name = 'draw' THEN 'unknown tool'
+        ELSE array_to_string(list_filter([
+            CASE WHEN NOT number THEN 'type of limit' END,
+            CASE WHEN name <> 'count' AND NOT has_query THEN 'missing query' END,
+            CASE WHEN name = 'count' AND has_query THEN 'unknown query' END], lambda x: x IS NOT NULL), '; ') END AS errors,
+        CASE WHEN parsed THEN '{"chars":' || n || ',"limit":' || CASE WHEN number THEN turn::VARCHAR ELSE '"' || turn || '"' END
+            || CASE WHEN has_query THEN ',"query":' || to_json(left(coalesce(text, ''), 40))::VARCHAR ELSE '' END || '}' END AS arguments
+        FROM p JOIN l ON p.id = l.id),
+    b AS (SELECT coalesce(e.conv_id, r.conv_id) AS conv_id, coalesce(e.id, r.id) AS call_id, name, level, needs,
+        coalesce(e.turn, r.turn) AS position, errors, arguments, r.text AS content, e.id IS NULL AS orphan,
+        CASE WHEN e.id IS NULL THEN 'orphan' WHEN r.id IS NULL THEN 'pending' ELSE 'linked' END AS status
+        FROM e FULL JOIN r ON e.id = r.id)
+    SELECT conv_id, call_id, name, level,
+        row_number() OVER (PARTITION BY conv_id ORDER BY orphan, level, position, call_id) AS place, status, errors,
+        '{"arguments":' || coalesce(arguments, 'null') || ',"errors":' || coalesce(to_json(errors)::VARCHAR, 'null')
+        || ',"id":' || to_json(call_id)::VARCHAR || ',"name":' || coalesce(to_json(name)::VARCHAR, 'null')
+        || ',"needs":' || coalesce(to_json(needs)::VARCHAR, 'null') || ',"result":' || coalesce(to_json(content)::VARCHAR, 'null')
+        || ',"status":' || to_json(status)::VARCHAR || '}' AS message
+    FROM b"""
+
 ORACLE: dict[str, str] = {
+    "op8_tool_calls": _TOOL_CALLS,
     "op4_quality_rules": _QUALITY,
     "op5_mixing": _MIXING,
     "op7_exact_dedup": rf"""

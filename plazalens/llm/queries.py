@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import blocks, exact_dedup, langid, mixing, near_dedup, packing, quality
+from . import blocks, exact_dedup, extract, langid, mixing, near_dedup, packing, quality, tool_calls, warc
 from .common import ship, table
 
 
@@ -21,6 +21,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces(packing.pack(table(spark, sf_dir, "documents")))
 
 
+def op3_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_read(table(spark, sf_dir, "pages"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -38,10 +42,19 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = tool_calls.from_conversations(table(spark, sf_dir, "conversations"))
+    return tool_calls.link(calls, results, tool_calls.TOOLS)
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"), shingle=4, similarity=0.8)
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -51,5 +64,17 @@ def _shipped(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {
-    query.__name__: _shipped(query) for query in (op1_language_id, op2_packing, op4_quality_rules, op5_mixing, op6_token_blocks, op7_exact_dedup, op9_near_dedup)
+    query.__name__: _shipped(query)
+    for query in (
+        op1_language_id,
+        op2_packing,
+        op3_capture_index,
+        op4_quality_rules,
+        op5_mixing,
+        op6_token_blocks,
+        op7_exact_dedup,
+        op8_tool_calls,
+        op9_near_dedup,
+        op10_html_extraction,
+    )
 }
