@@ -21,6 +21,8 @@ from .common import GAP, kept, parts
 
 BUCKET = 512
 """Keys a bucket holds before it is split."""
+DEPTH = 16
+"""Bits of a directory, at most; a bucket that has used them all grows instead."""
 RANGE_ROWS = 1 << 15
 """Rows of a key range, on average, at most."""
 
@@ -50,7 +52,7 @@ class Directory:
         """The chain of a key; a new one if there is none. Keys are unsigned."""
         while True:
             depth, bucket = self.slots[self._slot(key, self.depth)]
-            full = len(bucket) >= self.capacity and self.range_bits + depth < 64
+            full = len(bucket) >= self.capacity and depth < DEPTH
             if key in bucket or not full:
                 return bucket.setdefault(key, [])
             self._split(key, depth, bucket)
@@ -191,7 +193,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns; NULL ids as in `exact_groups`."""
+    """The documents that stay, with all their columns; as in `exact_groups`, rows without an id
+    stay where no copy has one."""
     index = build_index(docs, id_col, text_col)
-    keep = index.select(F.col("keep_id").alias("__keep"))
-    return docs.join(keep, docs[id_col].eqNullSafe(F.col("__keep")), "left_semi")
+    keep = index.select(F.col("keep_id").alias("__keep")).filter("__keep IS NOT NULL")
+    by_id = docs.join(keep, docs[id_col] == F.col("__keep"), "left_semi")
+    nameless = index.filter("keep_id IS NULL").select(F.col("digest").alias("__digest"))
+    digest = F.unhex(F.sha2(normalised(docs[text_col]), 256))
+    alone = docs.filter(docs[id_col].isNull()).join(nameless, digest == F.col("__digest"), "left_semi")
+    return by_id.unionByName(alone)

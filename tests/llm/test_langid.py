@@ -1,0 +1,124 @@
+"""The conditional random field and language identification."""
+
+import itertools
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from plazalens.llm import crf, langid
+from tests.llm.test_dedup import LONG
+
+SYLLABLES = {"xx": ["the", "ing", "tion", "wh", "and"], "yy": ["que", "ción", "ado", "ñ", "los"], "zz": ["sch", "ung", "ü", "keit", "der"]}
+
+
+def sentence(rng, lang, n):
+    return " ".join("".join(rng.choices(SYLLABLES[lang], k=rng.randrange(1, 4))) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def model():
+    rng = random.Random(1)
+    labels = [rng.choice(sorted(SYLLABLES)) for _ in range(300)]
+    return crf.train([sentence(rng, label, 20) for label in labels], labels, rounds=25)
+
+
+def test_forward_backward_is_the_sum_over_all_paths():
+    rng = np.random.default_rng(2)
+    model = crf.Model(["a", "b", "c"], np.zeros((2, 3)), rng.normal(size=(3, 3)), rng.normal(size=3))
+    scores = rng.normal(size=(2, 4, 3))
+    mask = np.array([[True] * 4, [True, True, True, False]])
+    got, joint = model.marginals(scores, mask, pairs=True)
+    expected, moves = np.zeros((2, 4, 3)), np.zeros((3, 3))
+    for row, length in ((0, 4), (1, 3)):
+        total, own = 0.0, np.zeros((3, 3))
+        for path in itertools.product(range(3), repeat=length):
+            value = model.start[path[0]] + sum(scores[row, i, y] for i, y in enumerate(path))
+            value = np.exp(value + sum(model.transitions[a, b] for a, b in zip(path, path[1:])))
+            total += value
+            for i, y in enumerate(path):
+                expected[row, i, y] += value
+            for a, b in zip(path, path[1:]):
+                own[a, b] += value
+        expected[row] /= total
+        moves += own / total
+    assert np.allclose(got, expected) and np.allclose(joint, moves)
+
+
+def test_features_are_those_of_the_word_alone():
+    both = crf.find_words(["Abc x, d'é!", None, "", "ABC 12 x"])
+    assert both.counts.tolist() == [4, 0, 0, 2]
+    assert both.numbers[0] == both.numbers[4] and both.numbers[1] == both.numbers[5]
+    alone = crf.find_words(["abc"])
+    start = both.starts[both.numbers[0]]
+    ends = [*both.starts[both.starts > start].tolist(), len(both.places)]
+    assert both.places[start : min(ends)].tolist() == alone.places.tolist()
+
+
+def test_words_of_mixed_texts_are_labelled(model):
+    rng = random.Random(5)
+    mixed = [sentence(rng, "xx", 15) + " " + sentence(rng, "zz", 15) for _ in range(20)]
+    words = crf.find_words(mixed)
+    grid, _ = crf._stretches(words.counts, crf.STRETCH)
+    found = model.marginals(model.scores(words)[words.numbers[grid]], grid >= 0).argmax(axis=2)[:, :30]
+    gold = np.repeat([model.labels.index("xx"), model.labels.index("zz")], 15)
+    assert (found == gold).mean() > 0.95
+    shares, _ = model.label_shares(mixed)
+    assert np.allclose(shares.sum(axis=1), 1) and (np.abs(shares[:, gold[0]] - 0.5) < 0.15).all()
+
+
+def test_long_texts_are_read_whole(model):
+    rng = random.Random(6)
+    text = sentence(rng, "yy", 300) + " " + sentence(rng, "xx", 700)
+    (share,), (count,) = model.label_shares([text])
+    assert count == 1000 and abs(share[model.labels.index("xx")] - 0.7) < 0.03
+
+
+def rows_of(n, seed=3):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        lang = rng.choice(["xx", "xx", "xx", "yy", "zz"])
+        rows.append((i, sentence(rng, lang, rng.randrange(5, 60)), lang if rng.random() < 0.9 else None, "s"))
+    return rows
+
+
+def test_identify(documents):
+    rows = rows_of(600)
+    odd = [(9001, None, "xx"), (9002, "", "yy"), (9003, "12 ### 3", "zz"), (9004, LONG, None), (None, rows[0][1], None), (0, *rows[0][1:])]
+    docs = documents([*rows, *odd])
+    got = langid.identify(docs).collect()
+    assert len(got) == 606
+    by_id = {r.doc_id: r for r in got}
+    for doc in (9001, 9002, 9003):
+        assert (by_id[doc].lang_pred, by_id[doc].score) == ("und", 0.0)
+    assert by_id[9004].lang_pred in SYLLABLES
+    for r in got:
+        expected = r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1
+        assert r.held_out == expected and 0 <= r.score <= 1
+    right = [by_id[i].lang_pred == lang for i, _, lang, _ in rows if lang and by_id[i].held_out]
+    assert np.mean(right) > 0.97
+
+
+def test_predictions_do_not_use_labels_held_out(documents):
+    rows = rows_of(300)
+    changed = [(i, t, "xx" if zlib.crc32(str(i).encode()) % 3 == 1 else lang, "other") for i, t, lang, _ in rows]
+    one, other = (sorted(map(tuple, langid.identify(documents(r)).collect())) for r in (rows, changed))
+    assert one == other
+
+
+def test_without_labels_nothing_is_known(documents):
+    got = langid.identify(documents([(1, "the the", None), (2, None, None)])).collect()
+    assert {(r.lang_pred, r.score) for r in got} == {("und", 0.0)}
+    assert langid.identify(documents([])).collect() == []
+    one = langid.identify(documents([(i, "the thing", "xx") for i in range(5)])).collect()
+    assert {r.lang_pred for r in one} == {"xx"}
+
+
+def test_keep_identified(documents):
+    rows = rows_of(200)
+    docs = documents([*rows, (500, None, "xx"), (501, "123", None)])
+    got = langid.keep_identified(docs)
+    assert got.columns == docs.columns
+    assert {r.doc_id for r in got.collect()} == {row[0] for row in rows}
