@@ -94,7 +94,8 @@ def thresholds(docs: DataFrame, sources: DataFrame) -> DataFrame:
             F.sum("size").alias("held"), F.count("*").alias("n")
         )
         reached = buckets.withColumn("reached", F.sum("held").over(by_bucket))
-        last = reached.join(state, "key").filter(
+        budgets = state.select("key", "source_size", "target", "times", "rest")
+        last = reached.join(budgets, "key").filter(
             (F.col("reached") > F.col("rest")) & (F.col("reached") - F.col("held") <= F.col("rest"))
         )
         state = kept(
