@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterable, Mapping
+from decimal import ROUND_HALF_UP, Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.fixed_values import NEGATIVE, NEUTRAL, POSITIVE
 from ..functions.once import once
@@ -14,15 +16,12 @@ from ..functions.text import token_gap, tokens
 from ..sources.posts import POST_FIELDS, PostFields
 from .profile import is_reshare
 
-Lexicon = Mapping[str, int] | Iterable[tuple[str, int]] | DataFrame
+Lexicon = Mapping[str, float] | Iterable[tuple[str, float]] | DataFrame
 Labels = tuple[str, str, str]
 LABELS: Labels = (POSITIVE, NEGATIVE, NEUTRAL)
 
-# A lexicon table of at most this many entries is read once and tested as a hash set
-# inside each row. A larger one is joined to the words, by broadcast up to the second size.
-INLINE_ENTRIES = 20_000
-BROADCAST_ENTRIES = 500_000
 _SPREAD = 16
+_EXACT = "DECIMAL(28, 9)"
 
 
 def lexicon_of(positive: Iterable[str], negative: Iterable[str]) -> list[tuple[str, int]]:
@@ -47,26 +46,35 @@ def label_of(score: str, labels: Labels = LABELS) -> Column:
     return F.when(sign > 0, positive).when(sign < 0, negative).when(sign == 0, neutral)
 
 
-def score_sql(words: str, entries: Iterable[tuple[str, int]]) -> str:
+def _exact(polarity) -> Decimal:
+    return Decimal(str(polarity)).quantize(Decimal("1e-9"), ROUND_HALF_UP)
+
+
+def score_sql(words: str, entries: Iterable[tuple[str, float]]) -> str:
     """SQL of the summed polarity of an array of words, for entries that fit in the plan.
 
-    An entry listed twice counts once; a word with several polarities counts with each.
-    Thousands of literals go to the parser as one string, not one by one through the
-    Python gateway, and end up in one hash set per polarity.
+    An entry listed twice counts once; a word with several polarities counts with each; the
+    empty word and entries without a polarity do not count. Sums are exact. Thousands of
+    literals go to the parser as one string, not one by one through the Python gateway, and
+    end up in one hash set per polarity.
     """
-    net: dict[str, int] = defaultdict(int)
-    for word, polarity in {(word, int(polarity)) for word, polarity in entries if word}:
+    net: dict[str, Decimal] = defaultdict(Decimal)
+    for word, polarity in {(w, _exact(p)) for w, p in entries if w and p is not None}:
         net[word] += polarity
-    by_polarity: dict[int, list[str]] = defaultdict(list)
+    by_polarity: dict[Decimal, list[str]] = defaultdict(list)
     for word in sorted(net):
         if net[word]:
             by_polarity[net[word]].append(_literal(word))
+    whole = all(polarity == int(polarity) and abs(polarity) < 2**31 for polarity in by_polarity)
+    kind = "BIGINT" if whole else "DECIMAL(38, 9)"
     cases = "".join(
-        f" WHEN word IN ({', '.join(words_of)}) THEN {polarity}"
+        f" WHEN word IN ({', '.join(words_of)}) THEN CAST('{polarity:f}' AS {kind})"
+        if not whole
+        else f" WHEN word IN ({', '.join(words_of)}) THEN {int(polarity)}L"
         for polarity, words_of in sorted(by_polarity.items())
     )
     gain = f"CASE{cases} ELSE 0 END" if cases else "0"
-    return f"aggregate({words}, 0, (score, word) -> score + {gain})"
+    return f"aggregate({words}, CAST(0 AS {kind}), (score, word) -> CAST(score + {gain} AS {kind}))"
 
 
 def _literal(word: str) -> str:
@@ -80,23 +88,18 @@ def with_sentiment(
     out: str = "sentiment",
     labels: Labels = LABELS,
     cleaned: bool = True,
-    inline_entries: int = INLINE_ENTRIES,
 ) -> DataFrame:
     """Add the sentiment label of a text column; NULL for NULL text. ``cleaned=False`` is
     for text that did not pass `clean_text`.
 
-    Entries given in Python, or in a table of at most ``inline_entries`` rows, are tested
-    inside each row: no shuffle. At most that many rows ever reach the driver. A larger
-    table is joined, with the same result.
+    Entries given in Python become part of the plan and are tested inside each row: no
+    shuffle, for as many as the driver can hold. A table is joined, whatever its size, and
+    Spark chooses how by the bytes it has. Both give the same labels: polarities are whole
+    numbers or are rounded to nine digits, and sums are exact.
     """
     if isinstance(lexicon, DataFrame):
-        entries = lexicon.select("word", "polarity").dropna().distinct()
-        head = entries.limit(inline_entries + 1).collect()
-        if len(head) > inline_entries:
-            words = tokens(F.col(column), cleaned)
-            return _with_joined_sentiment(df, entries, column, words, out, labels)
-        lexicon = [(row.word, row.polarity) for row in head]
-    elif isinstance(lexicon, Mapping):
+        return _with_joined_sentiment(df, lexicon, column, out, labels, cleaned)
+    if isinstance(lexicon, Mapping):
         lexicon = lexicon.items()
     text = f"`{column}`" if column in df.columns else column
     score = score_sql(f"split({text}, {_literal(token_gap(cleaned))})", lexicon)
@@ -104,37 +107,44 @@ def with_sentiment(
     return scored.withColumn(out, label_of("__score", labels)).drop("__score")
 
 
+def net_polarity(lexicon: DataFrame) -> DataFrame:
+    """``word``, ``polarity``: different entries of a lexicon table summed up, without the
+    empty word, entries that lack a part, and words that cancel."""
+    whole = isinstance(lexicon.schema["polarity"].dataType, T.IntegralType)
+    polarity = F.col("polarity").cast("BIGINT" if whole else _EXACT).alias("polarity")
+    entries = lexicon.select("word", polarity).dropna().filter("word != ''").distinct()
+    return entries.groupBy("word").agg(F.sum("polarity").alias("polarity")).filter("polarity != 0")
+
+
 def _with_joined_sentiment(
-    df: DataFrame, entries: DataFrame, column: str, words: Column, out: str, labels: Labels
+    df: DataFrame, lexicon: DataFrame, column: str, out: str, labels: Labels, cleaned: bool
 ) -> DataFrame:
-    """The label by joins, for a lexicon too large for the plan.
+    """The label by a join, in one pass over the rows.
 
-    Scores belong to texts, known by their SHA-256. A text posted n times scores n times as
-    much, with the same sign. Shuffled joins are salted by row, so neither a word in a third
-    of all texts nor a text posted a third of the time ends up in one task.
+    A row is taken apart into its words and one more item that holds the whole row under a
+    name that is no word. The items find their polarity by word; those that have none, and no
+    row, are dropped. Scores then meet the rows by the text's SHA-256. A text posted n times
+    scores n times as much, with the same sign. That step is salted by row, so a text posted
+    a third of the time does not end up in one task.
     """
-    salts = F.explode(F.sequence(F.lit(0), F.lit(_SPREAD - 1))).alias("__salt")
     salt = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in df.columns]), F.lit(_SPREAD))
-    rows = df.select(
-        "*",
-        F.unhex(F.sha2(column, 256)).alias("__digest"),
-        F.coalesce(salt.cast("int"), F.lit(0)).alias("__salt"),
-    )
-    polarity = entries.groupBy("word").agg(F.sum("polarity").alias("polarity"))
-    polarity = polarity.filter("polarity != 0")
-    said = rows.select("__digest", "__salt", F.explode(words).alias("word"))
-    if entries.count() <= BROADCAST_ENTRIES:
-        hits = said.join(F.broadcast(polarity), "word")
-    else:
-        hits = said.join(polarity.select("*", salts), ["word", "__salt"])
-    scores = hits.groupBy("__digest").agg(F.sum("polarity").alias("__score"))
-    score = F.when(F.col(column).isNotNull(), F.coalesce("__score", F.lit(0)))
-    return (
-        rows.join(scores.select("*", salts), ["__digest", "__salt"], "left")
-        .withColumn("__score", score)
-        .withColumn(out, label_of("__score", labels))
-        .drop("__digest", "__salt", "__score")
-    )
+    digest = F.coalesce(F.unhex(F.sha2(column, 256)), F.lit(b""))
+    row = F.struct(*[F.col(f"`{name}`") for name in df.columns])
+    whole = F.struct(F.concat(F.lit("\0"), F.hex(digest)).alias("word"), row.alias("row"))
+    no_row = F.lit(None).cast(df.select(row.alias("row")).schema["row"].dataType)
+    words = F.coalesce(tokens(F.col(column), cleaned), F.array().cast("array<string>"))
+    parts = F.transform(words, lambda word: F.struct(word.alias("word"), no_row.alias("row")))
+    items = df.select(
+        digest.alias("digest"), salt.alias("salt"), F.explode(F.concat(F.array(whole), parts)).alias("item")
+    ).select("digest", "salt", "item.word", "item.row")
+    found = items.join(net_polarity(lexicon), "word", "left")
+    found = found.filter("row IS NOT NULL OR polarity IS NOT NULL")
+    score = F.sum("polarity").over(Window.partitionBy("digest", "salt")).alias("score")
+    scored = found.select("row", score).filter("row IS NOT NULL")
+    text = F.col(f"row.`{column}`")
+    label = label_of("score", labels)
+    label = F.when(text.isNotNull(), F.coalesce(label, F.lit(labels[2])))
+    return scored.select("row.*", label.alias(out))
 
 
 def sentiment_counts(df: DataFrame, sentiment: str = "sentiment") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.fixed_values import NEGATIVE, POSITIVE, STOPWORDS, TOPIC_NEEDLES, TOP_WORDS
 from ..functions.text import clean, count_tokens, tokens
 from ..operators.ranking import top_k_per_group
-from ..operators.sentiment import INLINE_ENTRIES, LABELS, Labels, Lexicon, with_sentiment
+from ..operators.sentiment import LABELS, Labels, Lexicon, with_sentiment
 from ..operators.topics import Topics, on_topic
 from ..operators.words import StopWords, most_frequent_first, without_stopwords
 from ..sources.posts import POST_FIELDS, PostFields
@@ -20,16 +20,13 @@ def labelled_posts(
     topics: Topics = TOPIC_NEEDLES,
     fields: PostFields = POST_FIELDS,
     labels: Labels = LABELS,
-    inline_entries: int = INLINE_ENTRIES,
     everywhere: bool = False,
 ) -> DataFrame:
     """Posts of exactly one topic, with ``topic``, ``text_cln`` and ``sentiment``."""
     cleaned = on_topic(posts, topics, fields.tags).withColumn(
         "text_cln", clean(F.col(fields.text), everywhere)
     )
-    return with_sentiment(
-        cleaned, lexicon, "text_cln", labels=labels, inline_entries=inline_entries
-    )
+    return with_sentiment(cleaned, lexicon, "text_cln", labels=labels)
 
 
 def segment_counts(
@@ -39,7 +36,6 @@ def segment_counts(
     stopwords: StopWords = STOPWORDS,
     fields: PostFields = POST_FIELDS,
     labels: Labels = LABELS,
-    inline_entries: int = INLINE_ENTRIES,
     everywhere: bool = False,
 ) -> DataFrame:
     """``segment``, ``word``, ``count`` of each topic's raw, clean, positive and negative
@@ -50,9 +46,7 @@ def segment_counts(
     segment, so one shuffle with one row per topic and word serves all segments.
     """
     positive, negative, _ = labels
-    labelled = labelled_posts(
-        posts, lexicon, topics, fields, labels, inline_entries, everywhere
-    )
+    labelled = labelled_posts(posts, lexicon, topics, fields, labels, everywhere)
     posted = labelled.select(
         "topic",
         F.equal_null("sentiment", F.lit(positive)).alias("in_positive"),

@@ -1,5 +1,6 @@
 import random
 from collections import Counter
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,7 +58,8 @@ def test_lexicon_entries(texts, spark):
     assert labels_of(df, doubled) == expected
     assert labels_of(df, {"good": 1, "bad": -1, "fine": 3, "a\\'b": -2}) == expected
     table = spark.createDataFrame([*doubled, (None, 1), ("x", None)], "word string, polarity int")
-    assert labels_of(df, table) == expected
+    labelled = sentiment.with_sentiment(df, table, df.columns[0]).collect()
+    assert {row.text: row.sentiment for row in labelled} == dict(zip([r.text for r in df.collect()], expected))
     assert labels_of(df, []) == ["neutro"] * 4
 
 
@@ -66,11 +68,8 @@ def test_other_labels(texts):
     assert labels_of(df, labels=("up", "down", "level")) == ["up", "down", "level"]
 
 
-@pytest.mark.parametrize("inline_entries, broadcast_entries", [(0, 0), (3, 1000), (1000, 0)])
-def test_joined_and_inlined_lexicon_agree_with_a_count(
-    spark, monkeypatch, inline_entries, broadcast_entries
-):
-    monkeypatch.setattr(sentiment, "BROADCAST_ENTRIES", broadcast_entries)
+@pytest.mark.parametrize("broadcast", ["-1", "10m"])
+def test_joined_and_inlined_lexicon_agree_with_a_count(spark, broadcast):
     rng = random.Random(7)
     vocabulary = [f"w{n}" for n in range(60)]
     # A third of the rows share one text and a third of all words are one word.
@@ -80,7 +79,11 @@ def test_joined_and_inlined_lexicon_agree_with_a_count(
     entries = [(w, 1) for w in vocabulary[:25]] + [(w, -1) for w in vocabulary[20:50]]
     df = spark.createDataFrame(list(enumerate(texts)) + [(300, None)], "id int, text string")
     lexicon = spark.createDataFrame(entries, "word string, polarity int")
-    rows = sentiment.with_sentiment(df, lexicon, "text", inline_entries=inline_entries).collect()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        rows = sentiment.with_sentiment(df, lexicon, "text").collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     net = Counter()
     for word, polarity in entries:
         net[word] += polarity
@@ -89,6 +92,36 @@ def test_joined_and_inlined_lexicon_agree_with_a_count(
     assert [name for name, _ in df.dtypes] + ["sentiment"] == list(rows[0].asDict())
 
 
+POLARITIES = {
+    "double": ("double", [0.5, -1.0, 0.4, 0.1, 0.2, -0.3]),
+    "bigint": ("bigint", [2**40, -(2**40), 3, 1, -1, 2]),
+    "int": ("int", [1, -1, 1, 2, -2, 1]),
+    "decimal": ("decimal(5,2)", [Decimal("0.5"), Decimal("-1.0"), Decimal("0.40"), Decimal("0.1"), Decimal("0.2"), Decimal("-0.3")]),
+}
+
+
+@pytest.mark.parametrize("kind", sorted(POLARITIES))
+def test_a_list_and_a_table_give_the_same_labels(spark, texts, kind):
+    ddl, values = POLARITIES[kind]
+    names = ["good", "bad", "meh", "a", "b", "c"]
+    entries = [*zip(names, values), ("", values[0]), ("good", None), ("good", values[0])]
+    table = spark.createDataFrame([*entries, (None, values[0])], f"word string, polarity {ddl}")
+    lines = ["good good bad", "meh", "", "  ", "a b c", "bad", "good", None, "x"]
+    df = texts(*lines)
+
+    def expected(text):
+        if text is None:
+            return None
+        net = {name: Decimal(str(value)) for name, value in zip(names, values)}
+        return label(sum(net.get(word, 0) for word in text.split(" ")))
+
+    by_hand = sorted(((t, expected(t)) for t in lines), key=repr)
+    for lexicon in (entries, table):
+        labelled = sentiment.with_sentiment(df, lexicon, df.columns[0])
+        got = sorted((tuple(row) for row in labelled.collect()), key=repr)
+        assert got == by_hand
+
+
 def test_read_lexicon(spark, tmp_path):
     (tmp_path / "pos.txt").write_text("good\n a+ \n\nboth\n")
     (tmp_path / "neg.txt").write_text("bad\nboth")
