@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import TOP_VERTICES
-from ..sources.checkpoints import use_checkpoint_dir
+from ..sources.checkpoints import forget_checkpoint, use_checkpoint_dir
 from ..sources.posts import POST_FIELDS, PostFields
 from .ranking import top_k
 
-# A vertex with more incoming links than one part of this many, or than a ten-thousandth
-# of all links, is split. So at most _MAX_SPLIT vertices are.
-_LINKS_PER_PART = 1_000_000
+# A vertex is split into parts whose links times all landmarks are at most this many steps,
+# unless that is less than a ten-thousandth of all links. So at most _MAX_SPLIT vertices are.
+_STEPS_PER_PART = 10_000_000
 _MAX_SPLIT = 10_000
-# Rounds whose pairs are kept apart before they are merged.
-_SEEN_FRAMES = 8
+# Landmarks of a batch in `closeness_of`: the bits of a long.
+BATCH = 64
 
 
 def vertices(
@@ -62,8 +64,9 @@ def network_size(posts: DataFrame, fields: PostFields = POST_FIELDS) -> DataFram
 
 def degrees(links: DataFrame) -> DataFrame:
     """``id``, ``degree``: incoming and outgoing edges of each vertex. Parallel edges count
-    each, a loop counts twice, vertices without edges are absent."""
-    ends = links.select(F.explode(F.array("src", "dst")).alias("id"))
+    each, a loop counts twice, vertices without edges are absent. Links with a NULL end are
+    no edges."""
+    ends = links.select("src", "dst").dropna().select(F.explode(F.array("src", "dst")).alias("id"))
     return ends.groupBy("id").agg(F.count("*").alias("degree"))
 
 
@@ -97,41 +100,83 @@ def hop_distances(
     Breadth-first from all landmarks at once. Each round joins the newest pairs to the
     links that end in them and drops the pairs seen before. Links and seen pairs are laid
     out once, so a round shuffles only the newest pairs and the steps taken from them; ends
-    of very many links are split, so no task holds a whole hub. Each round's new pairs are
-    checkpointed: that cuts the lineage, and a lost executor costs no earlier round.
+    of very many links are split, so no task holds a whole hub.
+
+    A round writes its new pairs once, as a checkpoint: that cuts the lineage, and a lost
+    executor costs no earlier round. Checkpoints of like size are merged, so every pair is
+    written again a logarithmic number of times, few are joined in a round, and those merged
+    are deleted at once. The result reads the last ones; Spark deletes them with it if
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
     """
     use_checkpoint_dir(links.sparkSession)
-    laid_out, splits = _laid_out(links, directed)
-    newest = _at_landmarks(_landmark_table(links, landmarks), splits).checkpoint()
-    found, seen, hop = [newest], [_by_pair(newest)], 0
+    table = _landmark_table(links, landmarks)
+    laid_out, splits = _laid_out(links, directed, table)
+    newest, size = _written(_at_landmarks(table, splits))
+    seen, hop = [_Seen(newest, size)], 0
     try:
-        while seen[-1].count() and (max_hops is None or hop < max_hops):
+        while size and (max_hops is None or hop < max_hops):
             hop += 1
-            newest = _next_hop(laid_out, newest, seen, hop).checkpoint()
-            found.append(newest)
-            seen.append(_by_pair(newest))
-            if len(seen) > _SEEN_FRAMES:
-                found = [_union(found).checkpoint()]
-                merged = _by_pair(found[0])
-                merged.count()
-                while seen:
-                    seen.pop().unpersist()
-                seen.append(merged)
+            steps = _next_hop(laid_out, newest, [frame.by_pair for frame in seen], hop)
+            newest, size = _written(steps)
+            if size:
+                seen.append(_Seen(newest, size))
+                _merge_alike(seen)
+            else:
+                forget_checkpoint(newest)
+    finally:
+        laid_out.unpersist()
+        for frame in seen:
+            frame.by_pair.unpersist()
+    return _union([frame.pairs for frame in seen]).select("landmark", "id", "distance")
+
+
+def _written(pairs: DataFrame) -> tuple[DataFrame, int]:
+    """The pairs checkpointed, and their number from the same job."""
+    counted = Observation()
+    with _in_one_job(pairs.sparkSession):
+        written = pairs.observe(counted, F.count("*").alias("rows")).checkpoint()
+    return written, counted.get["rows"]
+
+
+@contextmanager
+def _in_one_job(spark: SparkSession):
+    """Plan without adaptive execution, which would run a job for every cached frame and
+    shuffle of a round. What it does is done here: hubs are split, and layouts are kept."""
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
     finally:
-        for frame in [laid_out, *seen]:
-            frame.unpersist()
-    return _union(found).select("landmark", "id", "distance")
+        spark.conf.set(key, before)
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+class _Seen:
+    """Checkpointed pairs, and the same laid out for joins with steps. The layout is made by
+    the first join that needs it and is neither shuffled nor sorted again; what is lost of it
+    comes back from the checkpoint."""
+
+    def __init__(self, pairs: DataFrame, size: int):
+        keys = ["landmark", "id"]
+        self.pairs, self.size = pairs, size
+        laid_out = pairs.select(*keys).repartition(*keys).sortWithinPartitions(*keys)
+        self.by_pair = laid_out.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _by_pair(pairs: DataFrame) -> DataFrame:
-    """Pairs laid out for joins with steps: neither shuffled nor sorted again by them."""
-    keys = ["landmark", "id"]
-    laid_out = pairs.select(*keys).repartition(*keys).sortWithinPartitions(*keys)
-    return laid_out.persist(StorageLevel.MEMORY_AND_DISK)
+def _merge_alike(seen: list[_Seen]) -> None:
+    """Merge the last frames while the one before is at most twice as large. The newest pairs
+    are still needed by themselves, so they stay out until the next round."""
+    while len(seen) > 2 and seen[-3].size <= 2 * seen[-2].size:
+        last, two, one = seen.pop(), seen.pop(), seen.pop()
+        merged, size = _written(_union([one.pairs, two.pairs]))
+        for frame in (one, two):
+            frame.by_pair.unpersist()
+            forget_checkpoint(frame.pairs)
+        seen += [_Seen(merged, size), last]
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
 
 
 def _at_landmarks(landmarks: DataFrame, splits: DataFrame) -> DataFrame:
@@ -163,16 +208,84 @@ def _next_hop(links: DataFrame, newest: DataFrame, seen: list[DataFrame], hop: i
 
 def closeness(distances: DataFrame) -> DataFrame:
     """``landmark``, ``closeness`` from `hop_distances`: the number of other vertices that
-    reach the landmark over the sum of their distances; 0 if none does.
-
-    Give `hop_distances` all `vertices` as landmarks for the closeness of every vertex;
-    that is one row per pair of connected vertices.
-    """
+    reach the landmark over the sum of their distances; 0 if none does. For the closeness of
+    all vertices use `closeness_of`, which does not need all pairs."""
     reaching, total = F.count("*"), F.sum("distance")
     value = F.when((total > 0) & (reaching > 1), (reaching - 1) / total).otherwise(0.0)
     return distances.groupBy("landmark").agg(value.alias("closeness"))
 
 
+def closeness_of(
+    links: DataFrame, landmarks: DataFrame | Iterable, directed: bool = True, batch: int = BATCH
+) -> DataFrame:
+    """``landmark``, ``closeness`` of very many landmarks, such as all `vertices`.
+
+    Landmarks are taken in batches of at most 64, a bit each. What is held is one row per
+    vertex with the bits of the batch's landmarks that it reaches. Every round adds its number
+    of new bits, and their distance, to the batch's sums, 64 numbers at most. A batch's result
+    is written and its rows are dropped, so there are never more rows than vertices.
+    """
+    if not 0 < batch <= BATCH:
+        raise ValueError(f"a batch has 1 to {BATCH} landmarks")
+    spark = links.sparkSession
+    use_checkpoint_dir(spark)
+    table = _landmark_table(links, landmarks)
+    laid_out, splits = _laid_out(links, directed, table)
+    # The number of a row in its part, which is the number's upper bits.
+    row = F.monotonically_increasing_id()
+    numbered = _at_landmarks(table, splits).select("id", "parts", row.alias("row")).checkpoint()
+    part, place = F.shiftright("row", 33).alias("part"), F.col("row").bitwiseAND((1 << 33) - 1)
+    sizes = numbered.groupBy(part).agg(F.count("*").alias("n")).collect()  # a row per task
+    folder = f"{spark.sparkContext.getCheckpointDir()}/closeness-{uuid.uuid4().hex}"
+    kind = links.schema["dst"].dataType.simpleString()
+    spark.createDataFrame([], f"landmark {kind}, closeness double").write.parquet(folder)
+    try:
+        for part, n in sizes:
+            for first in range(0, n, batch):
+                inside = (F.shiftright("row", 33) == part) & place.between(first, first + batch - 1)
+                bit = (place - first).cast("int")
+                members = numbered.filter(inside).select("id", "parts", bit.alias("bit"))
+                _batch_closeness(laid_out, members).write.mode("append").parquet(folder)
+    finally:
+        laid_out.unpersist()
+    forget_checkpoint(numbered)
+    return spark.read.schema(f"landmark {kind}, closeness double").parquet(folder)
+
+
+def _batch_closeness(links: DataFrame, members: DataFrame) -> DataFrame:
+    reached, total, hop = [0] * BATCH, [0] * BATCH, 0
+    newest = members.select("id", "parts", F.expr("shiftleft(1L, bit)").alias("bits")).checkpoint()
+    state = newest
+    while True:
+        hop += 1
+        sources = newest.select(
+            F.col("id").alias("dst"), F.explode(F.sequence(F.lit(1), "parts")).alias("part"), "bits"
+        )
+        steps = links.join(sources, ["dst", "part"]).groupBy(F.col("src").alias("id"))
+        steps = steps.agg(F.max("src_parts").alias("parts"), F.bit_or("bits").alias("bits"))
+        known = state.select("id", F.col("bits").alias("known"))
+        new = F.col("bits").bitwiseAND(F.bitwise_not(F.coalesce("known", F.lit(0).cast("long"))))
+        fresh = steps.join(known, "id", "left").select("id", "parts", new.alias("bits"))
+        fresh = fresh.filter("bits <> 0").checkpoint()
+        counts = [F.sum(F.getbit("bits", F.lit(i)).cast("long")).alias(str(i)) for i in range(BATCH)]
+        found = fresh.agg(*counts).first()
+        if found["0"] is None:
+            break
+        for i in range(BATCH):
+            reached[i] += found[str(i)]
+            total[i] += hop * found[str(i)]
+        merged = state.unionByName(fresh).groupBy("id")
+        merged = merged.agg(F.max("parts").alias("parts"), F.bit_or("bits").alias("bits")).checkpoint()
+        for frame in {state, newest}:
+            forget_checkpoint(frame)
+        state, newest = merged, fresh
+    for frame in {state, newest, fresh}:
+        forget_checkpoint(frame)
+    values = [float(n / d) if d else 0.0 for n, d in zip(reached, total)]
+    value = F.element_at(F.array(*map(F.lit, values)), F.col("bit") + 1)
+    return members.select(F.col("id").alias("landmark"), value.alias("closeness"))
+
+
 def _landmark_table(links: DataFrame, landmarks: DataFrame | Iterable) -> DataFrame:
     if not isinstance(landmarks, DataFrame):
         kind = links.schema["dst"].dataType.simpleString()
@@ -181,9 +294,14 @@ def _landmark_table(links: DataFrame, landmarks: DataFrame | Iterable) -> DataFr
     return landmarks.select(F.col(landmarks.columns[0]).alias("id")).dropna().distinct()
 
 
-def _laid_out(links: DataFrame, directed: bool) -> tuple[DataFrame, DataFrame]:
+def _laid_out(
+    links: DataFrame, directed: bool, landmarks: DataFrame
+) -> tuple[DataFrame, DataFrame]:
     """Distinct links partitioned by end vertex and part, and the split vertices.
 
+    A part holds fewer links the more landmarks there are, as every landmark that reached a
+    hub takes a step along each of its links.
+
     Links: ``src``, ``dst``, ``part`` of dst's links this one is in, and ``src_parts``, the
     number of parts src's own links are in. They are persisted, which keeps their
     partitioning for the joins; what is lost with an executor comes back from the
@@ -200,7 +318,8 @@ def _laid_out(links: DataFrame, directed: bool) -> tuple[DataFrame, DataFrame]:
         pairs = pairs.select(F.explode(F.array(there, back)).alias("way")).select("way.*")
     pairs = pairs.filter(F.col("src") != F.col("dst")).distinct().checkpoint()
 
-    per_part = max(_LINKS_PER_PART, -(-pairs.count() // _MAX_SPLIT))
+    steps = max(1, _STEPS_PER_PART // max(1, landmarks.count()))
+    per_part = max(steps, -(-pairs.count() // _MAX_SPLIT))
     splits = (
         pairs.groupBy(F.col("dst").alias("id"))
         .agg(F.count("*").alias("links"))

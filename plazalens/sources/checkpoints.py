@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+from urllib.parse import urlsplit
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -12,17 +14,36 @@ _SETTING = "spark.checkpoint.dir"
 def use_checkpoint_dir(spark: SparkSession) -> None:
     """Make `DataFrame.checkpoint` write to the shared folder of the session.
 
-    ``spark.checkpoint.dir`` decides; without it, a folder already set on the context.
-    With neither, a local session gets a temporary folder and a cluster gets an error,
-    since a folder on one machine does not outlive its executors.
+    ``spark.checkpoint.dir`` decides; without it, a folder already set on the context. With
+    neither, a session of one process (master ``local``) gets a temporary folder and any other
+    gets an error, since a folder on one machine does not outlive its executors. A ``file:``
+    address is taken as it is: it can be a mount that all machines share.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
     shared = spark.conf.get(_SETTING, None)
+    one_process = re.fullmatch(r"local(\[.*\])?", context.master) is not None
     if shared:
-        if current is None or f"{shared.rstrip('/')}/" not in f"{current}/":
+        if current is None or not _is_below(current, shared):
             context.setCheckpointDir(shared)
     elif current is None:
-        if not context.master.startswith("local"):
+        if not one_process:
             raise RuntimeError(f"set {_SETTING} to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="plazalens-checkpoints-"))
+
+
+def _is_below(folder: str, parent: str) -> bool:
+    """True if a folder lies directly in the other. A parent without a scheme is in the
+    default file system, whichever that is."""
+    own, other = urlsplit(folder), urlsplit(parent)
+    same_system = not other.scheme or (own.scheme, own.netloc) == (other.scheme, other.netloc)
+    own_path, other_path = (re.sub("/+", "/", parts.path).rstrip("/") for parts in (own, other))
+    return same_system and own_path.rpartition("/")[0] == other_path
+
+
+def forget_checkpoint(df: DataFrame) -> None:
+    """Delete the files of a DataFrame that `DataFrame.checkpoint` gave and nobody reads again."""
+    file = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if file.isDefined():
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file.get())
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,5 +1,7 @@
+import os
 import random
 from collections import Counter, defaultdict, deque
+from urllib.parse import urlsplit
 
 import pytest
 
@@ -99,14 +101,16 @@ def test_max_hops(links):
 @pytest.mark.parametrize("directed", [True, False])
 def test_split_hubs_change_nothing(spark, monkeypatch, directed):
     rng = random.Random(5)
-    # A third of all links end in vertex 0; parts of at most four links.
+    # A third of all links end in vertex 0; parts of at most four links for nine landmarks.
     rows = [(rng.randrange(40), rng.randrange(40)) for _ in range(70)]
     rows += [(n % 41, 0) for n in range(35)]
-    monkeypatch.setattr(graph, "_LINKS_PER_PART", 4)
+    landmarks = list(range(0, 41, 5))
+    monkeypatch.setattr(graph, "_STEPS_PER_PART", 4 * len(landmarks))
     links = spark.createDataFrame(rows, "src int, dst int")
-    _, splits = graph._laid_out(links, directed)
+    _, splits = graph._laid_out(links, directed, graph._landmark_table(links, landmarks))
     assert max(r.parts for r in splits.collect()) > 5
-    landmarks = list(range(0, 41, 5))
+    _, whole = graph._laid_out(links, directed, graph._landmark_table(links, [1]))
+    assert max((r.parts for r in whole.collect()), default=1) < 5
     got = as_dict(graph.hop_distances(links, landmarks, directed))
     assert got == distances_by_hand(rows, landmarks, directed)
 
@@ -120,6 +124,72 @@ def test_a_long_chain_merges_its_rounds_and_keeps_nothing_cached(spark):
     assert as_dict(distances) == {(0, n): n for n in range(26)}
 
 
+def checkpoints(spark):
+    folder = spark.sparkContext.getCheckpointDir()
+    return set(os.listdir(urlsplit(folder).path)) if folder else set()
+
+
+def test_a_long_chain_writes_each_pair_a_few_times(spark, monkeypatch):
+    rows = [(n + 1, n) for n in range(33)]
+    links = spark.createDataFrame(rows, "src bigint, dst bigint")
+    graph.use_checkpoint_dir(spark)
+    before, written = checkpoints(spark), []
+    write = graph._written
+
+    def counted(pairs):
+        frame, size = write(pairs)
+        written.append(size)
+        return frame, size
+
+    monkeypatch.setattr(graph, "_written", counted)
+    spark.sparkContext.setJobGroup("chain", "chain")
+    distances = graph.hop_distances(links, [0])
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("chain")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert distances.count() == 34
+    assert len(jobs) < 414 // 2
+    # 34 pairs, each written anew at most log2(34) times.
+    assert sum(written) <= 34 * 6
+    # What was merged is gone: the links, the splits and a logarithmic number of frames stay.
+    assert len(checkpoints(spark) - before) <= 9
+
+
+@pytest.mark.parametrize("directed", [True, False])
+@pytest.mark.parametrize("batch", [64, 3])
+def test_closeness_in_batches(spark, links, directed, batch):
+    landmarks = ["a", "hub", "z", "q", "nowhere", "b", "c"]
+    expected = graph.closeness(graph.hop_distances(links, landmarks, directed))
+    got = graph.closeness_of(links, landmarks, directed, batch)
+    assert got.dtypes == expected.dtypes
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+    with pytest.raises(ValueError):
+        graph.closeness_of(links, landmarks, directed, 65)
+
+
+def test_batches_hold_at_most_a_row_per_vertex(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(rng.randrange(50), rng.randrange(50)) for _ in range(150)]
+    links = spark.createDataFrame(rows, "src int, dst int")
+    sizes, forget = [], graph.forget_checkpoint
+
+    def counted(frame):
+        sizes.append(frame.count())
+        forget(frame)
+
+    monkeypatch.setattr(graph, "forget_checkpoint", counted)
+    got = {r.landmark: r.closeness for r in graph.closeness_of(links, range(50)).collect()}
+    assert max(sizes) <= 50
+    by_hand = distances_by_hand(rows, range(50))
+    for landmark in range(50):
+        hops = [d for (mark, _), d in by_hand.items() if mark == landmark]
+        assert got[landmark] == ((len(hops) - 1) / sum(hops) if sum(hops) else 0.0)
+
+
+def test_links_with_a_null_end_are_no_edges(spark):
+    links = spark.createDataFrame([(1, None), (1, 2), (None, None)], "src int, dst int")
+    assert sorted(map(tuple, graph.degree_share(links).collect())) == [(1, 1, 100.0), (2, 1, 100.0)]
+
+
 def test_closeness(spark, links):
     landmarks = spark.createDataFrame([("a",), ("z",), ("q",), ("a",)], "v string")
     distances = graph.hop_distances(links, landmarks)
@@ -132,7 +202,7 @@ def test_closeness(spark, links):
 def test_closeness_of_all_vertices(posts):
     kept = deduplicate(posts)
     edges = graph.edges(kept)
-    everyone = graph.hop_distances(edges, graph.vertices(kept))
-    values = {r.landmark: r.closeness for r in graph.closeness(everyone).collect()}
+    everyone = graph.closeness_of(edges, graph.vertices(kept))
+    values = {r.landmark: r.closeness for r in everyone.collect()}
     assert values["hub"] == 4 / 5 and values["ann"] == 1.0 and values["cat"] == 0.0
     assert len(values) == 9
