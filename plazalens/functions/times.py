@@ -15,5 +15,5 @@ def parse_created_at(col: Column) -> Column:
     and the rest parsed. This needs no session-wide legacy parser setting.
     """
     weekday = F.lower(F.substring(col, 1, 4)).isin(*WEEKDAYS)
-    rest = F.try_to_timestamp(F.substring(col, 5, 100), F.lit(CREATED_AT_FORMAT))
+    rest = F.try_to_timestamp(F.substr(col, F.lit(5)), F.lit(CREATED_AT_FORMAT))
     return F.when(weekday, rest)

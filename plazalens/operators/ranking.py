@@ -20,18 +20,13 @@ def top_k_per_group(
 ) -> DataFrame:
     """The first ``k`` rows of each group in ``order``, with their ``rank``.
 
-    Spark cuts each task's rows to k per group before the shuffle, as long as k is below
-    its group-limit threshold. Above it a whole group would land in one task, so each
-    group is first ranked in slices (by hash of ``spread_by``): the best k of the slices'
-    best k are the best k of the group.
+    Each group is first ranked in slices, by hash of ``spread_by``: the best k of the slices'
+    best k are the best k of the group. So no task ranks a whole group, nor k rows from every
+    other task.
     """
-    threshold = int(
-        df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
-    )
-    if k > threshold:
-        slices = [*by, F.pmod(F.xxhash64(spread_by), F.lit(_SPREAD))]
-        df = _first_ranks(df, slices, order, k).drop("rank")
-    return _first_ranks(df, by, order, k)
+    slices = [*by, F.pmod(F.xxhash64(spread_by), F.lit(_SPREAD))]
+    best = _first_ranks(df, slices, order, k).drop("rank")
+    return _first_ranks(best, by, order, k)
 
 
 def _first_ranks(df: DataFrame, by: Sequence, order: Sequence[Column], k: int) -> DataFrame:

@@ -197,7 +197,8 @@ FROM distances GROUP BY landmark"""
 
 ORACLE: dict[str, str] = {
     "dedup_rows": "SELECT DISTINCT user_id, event_type, props FROM events",
-    "dedup_keys": "SELECT DISTINCT user_id, event_type FROM events",
+    "dedup_keys": """SELECT event_id, user_id, event_type, props FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY props, event_id) = 1""",
     "dedup_summary": """WITH kept AS (
   SELECT count(*) AS deduped, count(text) AS deduped_with_text
   FROM (SELECT DISTINCT text, lang FROM documents)), everything AS (
@@ -208,6 +209,11 @@ FROM kept, everything""",
   rt_author AS source_author, coalesce(array_to_string(tags, '|'), '') AS tags,
   coalesce(array_to_string(src_tags, '|'), '') AS source_tags
 FROM (FROM posts UNION ALL FROM posts)""",
+    "parse_lines": """SELECT CASE WHEN doc_id % 7 <> 0 THEN doc_id END AS id,
+  CASE WHEN doc_id % 7 <> 0 THEN text END AS text, doc_id % 7 = 0 AS malformed FROM documents""",
+    "parse_report": """SELECT 2 * count(*) AS raw, count(*) AS deduped,
+  count(*) FILTER (doc_id % 7 <> 0) AS deduped_with_text, true AS removed,
+  2 * count(*) FILTER (doc_id % 7 = 0) AS malformed FROM documents""",
     "null_profile": f"""WITH {_POSTS} SELECT count(*) AS rows, count(author) AS author,
   count(zone) AS zone, count(tags) AS tags, count(rt_author) AS rt_author,
   count(reply_to) AS reply_to, count(src_tags) AS src_tags, count(src_reply_to) AS src_reply_to
@@ -227,7 +233,8 @@ edges AS (
   FROM span, generate_series(0, {HISTOGRAM_BINS - 1}) AS bins(i))
 SELECT bin::BIGINT AS bin, count(doc_id) AS count
 FROM edges LEFT JOIN documents ON length(text) >= lower AND length(text) < upper GROUP BY bin""",
-    "created_at_order": f"WITH {_CREATED} SELECT event_id, created_at, epoch FROM created",
+    "created_at_order": f"""WITH {_CREATED} SELECT event_id, created_at, epoch,
+  row_number() OVER (ORDER BY epoch, event_id) AS place FROM created""",
     "period": f"""WITH {_CREATED}
 SELECT min(epoch) AS min_epoch, max(epoch) AS max_epoch FROM created""",
     "zone_report": f"""WITH {_POSTS} SELECT {_KINDS},

@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import graph, profile, sentiment, topics, words
-from ..sources.posts import POST_FIELDS, dedup_report, deduplicate, distinct_flat
+from ..sources.checkpoints import use_checkpoint_dir
+from ..sources.posts import (
+    CORRUPT,
+    POST_FIELDS,
+    dedup_report,
+    deduplicate,
+    distinct_flat,
+    parse_posts,
+)
 from . import reports, tables
 from .tables import FIELDS, TOPICS, ZONE_PATTERN
 
@@ -38,8 +46,8 @@ def dedup_rows(spark, sf_dir):
 
 @_query
 def dedup_keys(spark, sf_dir):
-    rows = tables.table(spark, sf_dir, "events").select("user_id", "event_type", "props")
-    return deduplicate(rows, ["user_id", "event_type"]).select("user_id", "event_type")
+    rows = tables.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props")
+    return deduplicate(rows, ["user_id", "event_type"], order=["props"])
 
 
 @_query
@@ -57,6 +65,18 @@ def dedup_flat_posts(spark, sf_dir):
     )
 
 
+@_query
+def parse_lines(spark, sf_dir):
+    posts = parse_posts(tables.lines(spark, sf_dir), "line", "id BIGINT, text STRING")
+    return posts.select("id", "text", F.col(CORRUPT).isNotNull().alias("malformed"))
+
+
+@_query
+def parse_report(spark, sf_dir):
+    lines = tables.lines(spark, sf_dir)
+    return dedup_report(parse_posts(lines.unionAll(lines), "line", "id BIGINT, text STRING"))
+
+
 @_query
 def null_profile(spark, sf_dir):
     paths = ["author", "zone", "tags", "rt_author", "reply_to", "src_tags", "src_reply_to"]
@@ -90,8 +110,19 @@ def text_length_histogram(spark, sf_dir):
 
 @_query
 def created_at_order(spark, sf_dir):
-    stamped = profile.with_timestamp(tables.created(spark, sf_dir)).orderBy("timestamp")
-    return stamped.select("event_id", "created_at", _epoch("timestamp").alias("epoch"))
+    use_checkpoint_dir(spark)
+    stamped = profile.with_timestamp(tables.created(spark, sf_dir)).orderBy("timestamp", "event_id")
+    # A row's place in the order: its place in its part, after the rows of the parts before.
+    row = F.monotonically_increasing_id()
+    part, inside = F.shiftright(row, 33).alias("part"), row.bitwiseAND((1 << 33) - 1)
+    rows = stamped.select("*", part, inside.alias("inside")).checkpoint()
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per part
+    parts = rows.groupBy("part").agg(F.count("*").alias("n"))
+    parts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    place = F.col("before") + F.col("inside") + 1
+    return rows.join(parts, "part").select(
+        "event_id", "created_at", _epoch("timestamp").alias("epoch"), place.alias("place")
+    )
 
 
 @_query
@@ -133,7 +164,7 @@ def source_topic_sum(spark, sf_dir):
 
 @_query
 def topic_report(spark, sf_dir):
-    return topics.topic_report(tables.posts(spark, sf_dir), TOPICS, FIELDS)
+    return topics.topic_report(tables.posts(spark, sf_dir, tags_once=True), TOPICS, FIELDS)
 
 
 @_query
@@ -175,7 +206,7 @@ def sentiment_table_lexicon(spark, sf_dir):
 def sentiment_joined_lexicon(spark, sf_dir):
     posts = words.clean_text(tables.posts(spark, sf_dir).select("id", "text"))
     lexicon = tables.role_lexicon(spark, sf_dir)
-    labelled = sentiment.with_sentiment(posts, lexicon, inline_entries=0)
+    labelled = sentiment.with_sentiment(posts, lexicon)
     return labelled.select("id", "sentiment")
 
 
@@ -329,4 +360,4 @@ def closeness(spark, sf_dir):
 def closeness_all(spark, sf_dir):
     posts = tables.posts(spark, sf_dir)
     links = graph.edges(posts, FIELDS)
-    return graph.closeness(graph.hop_distances(links, graph.vertices(posts, FIELDS)))
+    return graph.closeness_of(links, graph.vertices(posts, FIELDS))

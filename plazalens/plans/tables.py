@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.once import once
 from ..sources.posts import POST_SCHEMA, PostFields
 
 FIELDS = PostFields(
@@ -38,8 +39,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat posts from ``documents``: tags are the long words of the text."""
+def posts(spark: SparkSession, sf_dir: str, tags_once: bool = False) -> DataFrame:
+    """Flat posts from ``documents``: tags are the long words of the text. ``tags_once`` is for
+    queries that use the tags several times, also in filters: they are worked out once then,
+    but also where they are not needed."""
     doc, text = F.col("doc_id"), F.lower("text")
     reshares = (doc % 9).isin(0, 2, 4, 6)
 
@@ -49,18 +52,22 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     def account(factor: int):
         return F.concat(F.lit("src"), (doc * factor % 20).cast("string"))
 
-    return table(spark, sf_dir, "documents").select(
+    none = F.array().cast("array<string>")
+    tags = F.when(doc % 5 == 0, none).otherwise(words(9)).alias("tags")
+    src_tags = F.when(reshares, words(11)).alias("src_tags")
+    flat = table(spark, sf_dir, "documents").select(
         doc.alias("id"),
         "text",
         F.col("source").alias("author"),
         F.col("lang").alias("zone"),
         F.col("n_chars").alias("retweet_count"),
-        F.when(doc % 5 == 0, F.array().cast("array<string>")).otherwise(words(9)).alias("tags"),
+        *([] if tags_once else [tags, src_tags]),
+        *([once(F.struct(tags, src_tags)).alias("both")] if tags_once else []),
         F.when(reshares, account(7)).alias("rt_author"),
         F.when(doc % 9 == 1, account(3)).alias("reply_to"),
-        F.when(reshares, words(11)).alias("src_tags"),
         F.when(reshares & (doc % 4 == 0), account(3)).alias("src_reply_to"),
     )
+    return flat.select("*", "both.*").drop("both") if tags_once else flat
 
 
 def nested_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,8 +94,17 @@ def nested_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("reply_to").alias("in_reply_to_screen_name"),
         F.when(F.col("rt_author").isNotNull(), original).alias("retweeted_status"),
     )
-    lines = posts(spark, sf_dir).select(F.to_json(line).alias("line"))
-    return lines.select(F.from_json("line", POST_SCHEMA).alias("post")).select("post.*")
+    lines = posts(spark, sf_dir, tags_once=True).select(F.to_json(line).alias("line"))
+    return lines.select(once(F.from_json("line", POST_SCHEMA)).alias("post")).select("post.*")
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` as JSON lines, every seventh of them cut in the middle."""
+    line = F.to_json(F.struct(F.col("doc_id").alias("id"), "text"))
+    cut = F.substring(line, F.lit(1), F.floor(F.length(line) / 2).cast("int"))
+    return table(spark, sf_dir, "documents").select(
+        F.when(F.col("doc_id") % 7 == 0, cut).otherwise(line).alias("line")
+    )
 
 
 def created(spark: SparkSession, sf_dir: str) -> DataFrame:

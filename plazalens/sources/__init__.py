@@ -9,6 +9,7 @@ from .posts import (
     deduplicate,
     distinct_flat,
     flatten,
+    parse_posts,
     read_posts,
     row_digest,
 )
@@ -22,6 +23,7 @@ __all__ = [
     "deduplicate",
     "distinct_flat",
     "flatten",
+    "parse_posts",
     "read_posts",
     "row_digest",
 ]

@@ -5,11 +5,14 @@ from __future__ import annotations
 import dataclasses
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from typing import Literal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.once import once
+
 # --- fixed values: the fields of a post -------------------------------------
 
 _POINT = "STRUCT<coordinates: ARRAY<DOUBLE>, type: STRING>"
@@ -78,13 +81,49 @@ FLAT_FIELDS = PostFields(**{field.name: field.name for field in dataclasses.fiel
 """The fields after `flatten`: each a column of its own name."""
 
 
+CORRUPT = "_corrupt_record"
+LINE_DIGEST = "_line_digest"
+
+
 def read_posts(
-    spark: SparkSession, path: str | list[str], schema: str | None = POST_SCHEMA
+    spark: SparkSession,
+    path: str | list[str],
+    schema: str | None = POST_SCHEMA,
+    corrupt: Literal["keep", "fail"] = "keep",
 ) -> DataFrame:
     """JSON-lines posts. A declared schema saves the pass that infers one; ``schema=None``
-    infers it. Pass a shorter schema to parse fewer fields."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.json(path)
+    infers it. Pass a shorter schema to parse fewer fields. Empty lines are skipped.
+
+    With a declared schema, two more columns keep lines apart that its fields do not: a line
+    that cannot be parsed stays a row of its own with its text in ``_corrupt_record``, and
+    ``_line_digest`` is that of the whole line, its keys sorted, so posts that differ only in a
+    field outside the schema stay different. ``corrupt="fail"`` fails on a broken line.
+    """
+    if schema is None:
+        mode = "FAILFAST" if corrupt == "fail" else "PERMISSIVE"
+        return spark.read.option("mode", mode).json(path)
+    return parse_posts(spark.read.text(path), "value", schema, corrupt)
+
+
+def parse_posts(
+    lines: DataFrame,
+    column: str = "value",
+    schema: str = POST_SCHEMA,
+    corrupt: Literal["keep", "fail"] = "keep",
+) -> DataFrame:
+    """Posts from a column of JSON lines, as `read_posts` gives them."""
+    line = F.col(column)
+    options = {"mode": "FAILFAST" if corrupt == "fail" else "PERMISSIVE"}
+    if corrupt == "keep":
+        options["columnNameOfCorruptRecord"] = CORRUPT
+        schema = f"{schema}, {CORRUPT} STRING"
+    whole = F.coalesce(F.to_json(F.try_parse_json(line)), line)
+    parsed = lines.filter(F.trim(line) != "").select(
+        once(F.from_json(line, schema, options)).alias("post"),
+        F.unhex(F.sha2(whole, 256)).alias(LINE_DIGEST),
+    )
+    broken = [] if corrupt == "keep" else [F.lit(None).cast("string").alias(CORRUPT)]
+    return parsed.select("post.*", *broken, LINE_DIGEST)
 
 
 def flatten(
@@ -96,13 +135,29 @@ def flatten(
     return posts.select(*[F.col(path).alias(name) for name, path in paths.items()])
 
 
-def deduplicate(posts: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    """Keep one of each set of rows equal in every column (or, another result, in ``subset``).
+def deduplicate(
+    posts: DataFrame,
+    subset: Sequence[str] | None = None,
+    order: Sequence[str] | None = None,
+) -> DataFrame:
+    """Keep one of each set of rows equal in every column or, another result, in ``subset``.
 
-    Equal rows are merged inside each map task first, so many copies of one row cost the
-    shuffle no more than one row per task.
+    Of rows equal in ``subset`` the first by ``order`` stays, NULL before values; ties, and all
+    of the order if none is given, are broken by the other columns in turn, so the result
+    does not depend on where rows lie. Equal rows are merged inside each map task first, so
+    many copies of one row cost the shuffle no more than one row per task.
     """
-    return posts.dropDuplicates(list(subset) if subset else None)
+    if not subset:
+        return posts.dropDuplicates()
+    first = [name for name in order or () if name not in subset]
+    rest = [name for name in posts.columns if name not in subset and name not in first]
+    least = F.min(F.struct(*[F.col(f"`{name}`") for name in [*first, *rest]])).alias("__rest")
+    if not first and not rest:
+        return posts.distinct()
+    kept = posts.groupBy(*[F.col(f"`{name}`") for name in subset])
+    return kept.agg(least).select(
+        *[F.col(f"`{n}`") if n in subset else F.col(f"__rest.`{n}`").alias(n) for n in posts.columns]
+    )
 
 
 def distinct_flat(
@@ -116,7 +171,10 @@ def distinct_flat(
 
 
 def row_digest(df: DataFrame) -> Column:
-    """SHA-256 of all columns, the same for rows that are equal as grouping keys."""
+    """SHA-256 of all columns, the same for rows that are equal as grouping keys; for posts as
+    they were read, the digest of the whole line."""
+    if LINE_DIGEST in df.columns:
+        return F.col(LINE_DIGEST)
     columns = [_comparable(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema]
     micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
     options = {"timestampFormat": f"{micros}XXX", "timestampNTZFormat": micros}
@@ -144,15 +202,23 @@ def _has_fractions(kind: T.DataType) -> bool:
 
 
 def dedup_report(posts: DataFrame, text: str = "text") -> DataFrame:
-    """One row: ``raw`` and ``deduped`` row counts, ``deduped_with_text``, and ``removed``,
-    true if the last differs from the first (so rows without text count as removed).
+    """One row: ``raw`` and ``deduped`` row counts, ``deduped_with_text``, ``removed``, true if
+    the last differs from the first (so rows without text count as removed), and for posts
+    read with their broken lines ``malformed``, the number of those among the raw rows.
 
     One pass: digests are grouped with their number of copies instead of counted twice.
     """
-    rows = posts.select(row_digest(posts).alias("digest"), F.col(text).isNotNull().alias("with_text"))
-    copies = rows.groupBy("digest", "with_text").agg(F.count("*").alias("n"))
-    return copies.agg(
+    broken = F.col(CORRUPT).isNotNull() if CORRUPT in posts.columns else F.lit(False)
+    rows = posts.select(
+        row_digest(posts).alias("digest"),
+        F.col(text).isNotNull().alias("with_text"),
+        broken.alias("broken"),
+    )
+    copies = rows.groupBy("digest", "with_text", "broken").agg(F.count("*").alias("n"))
+    report = copies.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("raw"),
         F.count("*").alias("deduped"),
         F.count_if("with_text").alias("deduped_with_text"),
+        F.coalesce(F.sum(F.when(F.col("broken"), F.col("n"))), F.lit(0)).alias("malformed"),
     ).withColumn("removed", F.col("raw") != F.col("deduped_with_text"))
+    return report if CORRUPT in posts.columns else report.drop("malformed")

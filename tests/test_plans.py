@@ -5,8 +5,10 @@ import io
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from plazalens.operators import graph, profile, sentiment, topics, words
+from plazalens.operators.ranking import top_k_per_group
 from plazalens.plans import reports
 from plazalens.plans.queries import QUERIES
 from plazalens.sources import FLAT_FIELDS, POST_FIELDS, deduplicate, distinct_flat
@@ -60,7 +62,7 @@ def test_counts_are_combined_before_the_shuffle(spark):
 def test_segments_need_one_shuffle_and_ranks_are_cut_before_theirs(spark):
     assert plan(QUERIES["segment_counts"](spark, SF_DIR)).count("Exchange") == 1
     text = plan(QUERIES["keyword_report"](spark, SF_DIR))
-    assert text.count("Exchange") == 2
+    assert text.count("Exchange") == 3  # the counts, the slices' ranks, the groups' ranks
     assert "WindowGroupLimit" in text and "Partial" in text
 
 
@@ -85,11 +87,12 @@ def test_a_hop_shuffles_neither_links_nor_seen_pairs(spark):
         spark.conf.set(key, "-1")
     try:
         graph.use_checkpoint_dir(spark)
-        laid_out, splits = graph._laid_out(links, directed=True)
-        start = graph._at_landmarks(graph._landmark_table(links, [0]), splits).checkpoint()
-        far = start.select("landmark", (start.id + 50).alias("id"))
-        seen = [graph._by_pair(start), graph._by_pair(far)]
-        assert [pairs.count() for pairs in seen] == [1, 1]
+        marks = graph._landmark_table(links, [0])
+        laid_out, splits = graph._laid_out(links, True, marks)
+        start, _ = graph._written(graph._at_landmarks(marks, splits))
+        far, n = graph._written(start.select("landmark", (start.id + 50).alias("id"), "parts", "distance"))
+        seen = [graph._Seen(start, 1).by_pair, graph._Seen(far, n).by_pair]
+        assert [pairs.count() for pairs in seen] == [1, n] == [1, 1]
         text = plan(graph._next_hop(laid_out, start, seen, 1))
         for frame in [laid_out, *seen]:
             frame.unpersist()
@@ -129,3 +132,14 @@ def test_large_stop_table_is_joined_after_counting(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert text.index("LeftAnti") < text.index("HashAggregate")
+
+
+def test_large_rankings_are_made_in_slices(spark):
+    df = spark.createDataFrame([("a", "w", 1)], "g string, word string, n int")
+    text = plan(top_k_per_group(df, ["g"], [F.desc("n"), F.asc("word")], 900, spread_by="word"))
+    assert text.count("Exchange") == 2 and "xxhash64" in text
+
+
+def test_a_lexicon_table_is_joined_in_one_pass(spark):
+    text = plan(QUERIES["sentiment_table_lexicon"](spark, SF_DIR))
+    assert text.count("FileScan parquet") == 2  # the documents and the lexicon

@@ -5,9 +5,10 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from plazalens.plans.oracle import ORACLE as SQL
+from plazalens.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no driver tables")
 
@@ -43,6 +44,11 @@ def test_query_agrees_with_sql(spark, duck, name):
     assert got
 
 
+def test_entry_registers_all_queries():
+    assert QUERIES.items() <= entry.queries().items() and SQL.items() <= entry.oracle_sql().items()
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry(spark):
     result = entry.entry(spark)
     assert result.columns == ["segment", "word", "count", "rank"]

@@ -16,6 +16,7 @@ from plazalens.sources import (
     row_digest,
 )
 from plazalens.sources.checkpoints import use_checkpoint_dir
+from plazalens.sources.posts import CORRUPT, LINE_DIGEST
 from tests.fixtures import POSTS
 
 
@@ -28,10 +29,11 @@ def named_fields(kind):
 
 
 def test_schema_has_all_fields(posts):
-    assert len(posts.columns) == 23
-    assert named_fields(posts.schema) == 243
+    declared = posts.drop(CORRUPT, LINE_DIGEST)
+    assert len(declared.columns) == 23 == len(posts.columns) - 2
+    assert named_fields(declared.schema) == 243
     original = posts.schema["retweeted_status"].dataType
-    assert set(original.names) == set(posts.columns) - {"retweeted_status"} | {"scopes"}
+    assert set(original.names) == set(declared.columns) - {"retweeted_status"} | {"scopes"}
 
 
 def test_declared_and_inferred_schema_read_the_same(spark, posts, posts_path):
@@ -45,7 +47,39 @@ def test_declared_and_inferred_schema_read_the_same(spark, posts, posts_path):
 
 
 def test_narrow_schema_parses_only_its_fields(spark, posts_path):
-    assert read_posts(spark, posts_path, "id BIGINT, text STRING").columns == ["id", "text"]
+    columns = read_posts(spark, posts_path, "id BIGINT, text STRING").columns
+    assert columns == ["id", "text", CORRUPT, LINE_DIGEST]
+
+
+LINES = [
+    '{"id": 1, "text": "a", "extra": 1}', '{"id": 1, "text": "a", "extra": 2}', '{"id": 2, "text": "b',
+    '{"id": 3, "te', '{"id": 4, "text": "c"}',
+]
+
+
+def test_broken_lines_and_undeclared_fields_keep_rows_apart(spark, tmp_path):
+    path = tmp_path / "lines.json"
+    path.write_text("\n".join([*LINES, "", '{"text": "c",  "id": 4}']))
+    posts = read_posts(spark, str(path))
+    kept = deduplicate(posts)
+    assert kept.count() == distinct_flat(posts).count() == 5
+    assert {r[CORRUPT] for r in kept.collect()} == {None, LINES[2], LINES[3]}
+    report = dedup_report(posts).first().asDict()
+    assert report == {"raw": 6, "deduped": 5, "deduped_with_text": 3, "removed": True, "malformed": 2}
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        read_posts(spark, str(path), corrupt="fail").collect()
+    path.write_text(LINES[0])
+    assert read_posts(spark, str(path), corrupt="fail").count() == 1
+
+
+def test_deduplicate_by_some_columns_keeps_the_first_row(spark):
+    rows = [(1, "b", 2), (1, "a", 3), (1, "a", None), (2, None, 1), (2, "x", 0)]
+    df = spark.createDataFrame(rows, "k int, s string, n int")
+    first = lambda *order: sorted(map(tuple, deduplicate(df, ["k"], order).collect()))
+    assert first() == first("s") == [(1, "a", None), (2, None, 1)]
+    assert first("n") == [(1, "a", None), (2, "x", 0)]
+    assert deduplicate(df, ["k"]).columns == df.columns
+    assert deduplicate(df.select("k"), ["k"]).count() == 2
 
 
 def test_deduplicate_compares_every_column(posts):
@@ -58,10 +92,10 @@ def test_deduplicate_compares_every_column(posts):
 
 def test_dedup_report(spark, posts):
     n = len(POSTS)
-    assert dedup_report(posts).collect() == [(n, n - 1, n - 2, True)]
-    assert dedup_report(posts.filter("id > 8")).collect() == [(4, 4, 4, False)]
-    assert dedup_report(posts.filter("id = 8")).collect() == [(1, 1, 0, True)]
-    assert dedup_report(posts.limit(0)).collect() == [(0, 0, 0, False)]
+    assert dedup_report(posts).collect() == [(n, n - 1, n - 2, 0, True)]
+    assert dedup_report(posts.filter("id > 8")).collect() == [(4, 4, 4, 0, False)]
+    assert dedup_report(posts.filter("id = 8")).collect() == [(1, 1, 0, 0, True)]
+    assert dedup_report(posts.limit(0)).collect() == [(0, 0, 0, 0, False)]
 
 
 def same_rows(a, b):
@@ -139,6 +173,30 @@ def test_checkpoints_go_to_the_shared_folder():
     assert context.current == "hdfs://shared/cp"
 
 
+@pytest.mark.parametrize(
+    "setting, current, stays",
+    [
+        ("/cp", "file:/other/cp/0f-11", False),
+        ("/cp", "file:/cp/0f-11", True),
+        ("file:///cp", "file:/cp/0f-11", True),
+        ("file:///cp/", "file:///cp/0f-11", True),
+        ("file:/cp", "hdfs://host/cp/0f-11", False),
+        ("hdfs://host/cp", "hdfs://other/cp/0f-11", False),
+        ("hdfs://host/cp", "hdfs://host/cp/a/0f-11", False),
+    ],
+)
+def test_checkpoint_folders_are_compared_by_their_parent(setting, current, stays):
+    context = FakeContext("yarn", current)
+    use_checkpoint_dir(FakeSession(context, setting))
+    assert context.current == (current if stays else setting)
+
+
+@pytest.mark.parametrize("master", ["local-cluster[2,1,1024]", "yarn", "spark://local:7077"])
+def test_only_one_process_may_use_a_folder_of_its_own(master):
+    with pytest.raises(RuntimeError):
+        use_checkpoint_dir(FakeSession(FakeContext(master)))
+
+
 def test_checkpoints_without_a_setting():
     with pytest.raises(RuntimeError, match=re.escape("spark.checkpoint.dir")):
         use_checkpoint_dir(FakeSession(FakeContext("spark://host")))
