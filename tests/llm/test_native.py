@@ -72,12 +72,16 @@ def test_cutoffs_lose_few_good_documents(documents, labels):
     rng = random.Random(4)
     rows, marks = [], []
     plain = " ".join(["word"] * 3 + [f"w{i}" for i in range(27)])
+
+    def marked(n):
+        return plain + "".join(f" #{k}" for k in range(n))
+
     for i in range(3000):
         good, lang = rng.random() < 0.7, rng.choice(["aa", "aa", "bb"])
         share = rng.random() * (0.02 if good else 0.6)
-        rows.append((i, plain + " #" * int(share * 130), lang))
+        rows.append((i, marked(int(share * 130)), lang))
         marks.append((i, int(good)))
-    rows += [(5000 + i, plain + " #" * 70, "rare") for i in range(5)]
+    rows += [(5000 + i, marked(70), "rare") for i in range(5)]
     marks += [(5000 + i, 0) for i in range(5)]
     got = {r.doc_id: r for r in quality.assess(documents(rows), labels(marks)).collect()}
     good = [got[i] for i, mark in marks if mark]
