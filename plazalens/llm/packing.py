@@ -154,8 +154,8 @@ def pack(
     packed = kept(rows.mapInArrow(_pack(end, length, open_windows), SEQUENCES), "sequences", "zstd")
     done, left, round_ = packed.filter("full"), packed.filter("NOT full"), 1
     while (number := left.count()) > 1:
-        groups = -(-number // _FAN_IN)
-        dealt = left.repartition(groups) if groups > 1 else left.coalesce(1)
+        # Dealt out by a shuffle, so that many tasks look for what is left.
+        dealt = left.repartition(-(-number // _FAN_IN))
         merged = kept(dealt.mapInArrow(_merge(round_, length, open_windows), SEQUENCES), "merged", "zstd")
         done, left, round_ = done.unionByName(merged.filter("full")), merged.filter("NOT full"), round_ + 1
     return done.unionByName(left)
