@@ -5,13 +5,13 @@ with all representatives in its root. A node chooses one or two positions of the
 signature by a hash of its own path, so that every document finds its way alone, and a document
 goes to the child that its minwise value at a chosen position names. With a threshold t a node
 chooses 1/t positions on average: a pair of similarity t then stays together in one child on
-average. Nodes at the first depth with few members are compared exhaustively; larger ones branch
-on. Several independent trees bring the recall up: a pair at a similarity of 0.8 is together at
+average. Small nodes are compared exhaustively; larger ones branch on. Several independent trees bring the recall up: a pair at a similarity of 0.8 is together at
 depth 3 of some tree of the default eight with a chance of 0.9997.
 
 Nothing is quadratic in a group of copies. Every member of a node is first compared with the
 node's smallest one. Those confirmed links make components, and only members of different
-components are compared within a node after that. Links are confirmed on full sets.
+components are compared within a node after that, until they are linked. Links are confirmed on
+full sets.
 """
 
 from __future__ import annotations
@@ -33,8 +33,10 @@ POSITIONS = 64
 TREES = 8
 FIRST_DEPTH = 3
 LAST_DEPTH = 15
-SMALL = 64
-"""Members of a node that is compared exhaustively, at most."""
+SMALL = 256
+"""Members of a node without its main label, at most, for it to be compared exhaustively."""
+PART = 1024
+"""Members with the main label in a part of a node."""
 BROADCAST_IDS = 1_000_000
 """Ids sent to every task to pick texts, at most (8 bytes each); more are joined by a shuffle."""
 
@@ -137,22 +139,56 @@ def _agreeing(floor: float):
     return agreeing
 
 
-def _compare_nodes(floor: float):
-    """Rows sorted by node: pairs of a node with different labels whose signatures agree."""
-
-    def pairs(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-        reps = np.concatenate([r.column(1).to_numpy(zero_copy_only=False) for r in rows])
-        labels = np.concatenate([r.column(2).to_numpy(zero_copy_only=False) for r in rows])
-        signatures = np.concatenate([_matrix(r.column(3)) for r in rows])
-        a, b = [], []
-        for i in range(len(reps) - 1):
-            rest = slice(i + 1, None)
-            near = (signatures[rest] == signatures[i]).mean(axis=1) >= floor
-            hits = np.flatnonzero(near & (labels[rest] != labels[i])) + i + 1
-            a.append(np.full(len(hits), reps[i]))
-            b.append(reps[hits])
-        a, b = (np.concatenate(side) if side else np.empty(0, np.int64) for side in (a, b))
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+class _Labels:
+    """Labels that turn out to belong together."""
+
+    def __init__(self) -> None:
+        self._up: dict[int, int] = {}
+
+    def root(self, label: int) -> int:
+        while (up := self._up.get(label, label)) != label:
+            label = up
+        return label
+
+    def join(self, one: int, other: int) -> None:
+        self._up[max(one, other)] = min(one, other)
+
+
+def _links_of_node(rows: list[pa.RecordBatch], size: int, similarity: float, floor: float) -> list[tuple[int, int]]:
+    """Compare the members of a node that have different labels. Pairs whose signatures agree
+    are compared on full sets, the most similar first, unless their labels are joined by then."""
+    reps = np.concatenate([r.column(1).to_numpy(zero_copy_only=False) for r in rows])
+    labels = np.concatenate([r.column(2).to_numpy(zero_copy_only=False) for r in rows])
+    signatures = np.concatenate([_matrix(r.column(3)) for r in rows])
+    texts = [text for r in rows for text in r.column(4).to_pylist()]
+    found = []
+    for i in range(len(reps) - 1):
+        other = np.flatnonzero(labels[i + 1 :] != labels[i]) + i + 1
+        agreed = (signatures[other] == signatures[i]).mean(axis=1)
+        near = agreed >= floor
+        found.append(np.stack((np.full(near.sum(), i), other[near], -POSITIONS * agreed[near]), 1).astype(np.int64))
+    pairs = np.concatenate(found) if found else np.empty((0, 3), np.int64)
+    joined, sets, links = _Labels(), {}, []
+    for i, j, _ in pairs[np.argsort(pairs[:, 2], kind="stable")].tolist():
+        one, other = joined.root(int(labels[i])), joined.root(int(labels[j]))
+        if one == other:
+            continue
+        for row in (i, j):
+            if row not in sets:
+                sets[row] = next(shingle_sets([texts[row]], size))
+        if _linked(sets[i], sets[j], similarity):
+            joined.join(one, other)
+            links.append((int(reps[i]), int(reps[j])))
+    return links
+
+
+def _compare_nodes(size: int, similarity: float, floor: float):
+    """Rows ``node, rep, label, signature, text`` sorted by node: links between labels."""
+
+    def links(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        found = _links_of_node(rows, size, similarity, floor)
+        sides = [pa.array([side(pair) for pair in found], pa.int64()) for side in (min, max)]
+        return pa.RecordBatch.from_arrays(sides, ["a", "b"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node, held = None, []
@@ -163,19 +199,24 @@ def _compare_nodes(floor: float):
                 if end == start:
                     continue
                 if nodes[start] != node and held:
-                    yield pairs(held)
+                    yield links(held)
                     held = []
                 node = nodes[start]
                 held.append(batch.slice(start, end - start))
         if held:
-            yield pairs(held)
+            yield links(held)
 
     return compare
 
 
+def _linked(one: np.ndarray, other: np.ndarray, similarity: float) -> bool:
+    """100 i >= 100 t u, for i shingles in both sets and u in either."""
+    common = len(np.intersect1d(one, other, assume_unique=True))
+    return common > 0 and 100 * common >= round(100 * similarity) * (len(one) + len(other) - common)
+
+
 def _confirm(size: int, similarity: float):
-    """Rows ``a, text_a, b, text_b`` whose sets overlap enough: 100 i >= 100 t u."""
-    percent = round(100 * similarity)
+    """Rows ``a, text_a, b, text_b`` whose sets overlap enough."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, last_set = None, None
@@ -185,8 +226,7 @@ def _confirm(size: int, similarity: float):
             for row, other in enumerate(shingle_sets(text_b, size)):
                 if text_a[row] != last or last_set is None:
                     last, last_set = text_a[row], next(shingle_sets([text_a[row]], size))
-                common = len(np.intersect1d(last_set, other, assume_unique=True))
-                if common and 100 * common >= percent * (len(last_set) + len(other) - common):
+                if _linked(last_set, other, similarity):
                     hits.append(row)
             yield batch.select([0, 2]).take(pa.array(hits, pa.int64()))
 
@@ -201,15 +241,19 @@ class _Join:
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """The links among candidate pairs ``a, b``."""
         pairs = kept(pairs.distinct(), "candidates")
-        ids = kept(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
-        if ids.count() <= BROADCAST_IDS:
-            ids = F.broadcast(ids)
-        texts = kept(self.texts.join(ids, "id", "left_semi"), "texts")
+        texts = self.texts_of(pairs.select(F.explode(F.array("a", "b")).alias("id")))
         sides = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
         sides = sides.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
         sides = sides.select("a", "text_a", "b", "text_b")
         return kept(sides.mapInArrow(_confirm(self.size, self.similarity), "a long, b long").distinct(), "links")
 
+    def texts_of(self, ids: DataFrame) -> DataFrame:
+        """``id``, ``text`` of some documents."""
+        ids = kept(ids.distinct(), "ids")
+        if ids.count() <= BROADCAST_IDS:
+            ids = F.broadcast(ids)
+        return kept(self.texts.join(ids, "id", "left_semi"), "texts")
+
     def agreeing(self, pairs: DataFrame, reps: DataFrame) -> DataFrame:
         one, other = (
             reps.select(F.col("rep").alias(name), F.col("signature").alias(f"signature_{name}")) for name in "ab"
@@ -219,20 +263,26 @@ class _Join:
 
 
 def _mixed(members: DataFrame) -> DataFrame:
-    """Nodes whose members have different labels, with their number of members."""
-    sizes = members.groupBy("node").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
-    return kept(sizes.filter("low <> high").select("node", "n"), "nodes")
-
-
-def _leaf_pairs(members: DataFrame, reps: DataFrame, join: _Join, depth: int) -> DataFrame:
-    """Candidates within nodes: small nodes at once, larger ones after branching on. What is
-    still large at the last depth is compared block by block."""
+    """Nodes whose members have different labels: ``n`` members, the most frequent label
+    ``main`` and the number of ``others``."""
+    by_label = members.groupBy("node", "label").agg(F.count("*").alias("n"))
+    most = F.max(F.struct("n", "label")).alias("most")
+    nodes = by_label.groupBy("node").agg(F.sum("n").alias("n"), most, F.count("*").alias("labels"))
+    nodes = nodes.filter("labels > 1").select("node", "n", F.col("most.label").alias("main"), (F.col("n") - F.col("most.n")).alias("others"))
+    return kept(nodes, "nodes")
+
+
+def _leaf_links(members: DataFrame, reps: DataFrame, join: _Join, depth: int) -> DataFrame:
+    """Links within nodes. Members with the main label need comparing with the others only,
+    so a node with few others is small, however large a group of near copies lies in it. A node
+    with many others branches on; what is left at the last depth is compared block by block."""
     schema, found = "node long, rep long, label long", None
     while True:
         nodes = _mixed(members)
-        rows = kept(members.join(nodes, "node").join(reps, "rep").select("node", "rep", "label", "signature", "n"), "members")
-        small, large = rows.filter(F.col("n") <= SMALL), rows.filter(F.col("n") > SMALL)
-        compared = _exhaustive(small, join)
+        rows = members.join(nodes, "node").join(reps, "rep")
+        rows = kept(rows.select("node", "rep", "label", "signature", "n", "main", "others"), "members")
+        small, large = rows.filter(F.col("others") <= SMALL), rows.filter(F.col("others") > SMALL)
+        compared = _exhaustive(_dealt(small), join)
         found = compared if found is None else found.unionByName(compared)
         if large.isEmpty():
             return found
@@ -243,9 +293,24 @@ def _leaf_pairs(members: DataFrame, reps: DataFrame, join: _Join, depth: int) ->
         members, depth = kept(branched.distinct(), "members"), depth + levels
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """The members with a node's main label dealt out to parts, the few others sent to each."""
+    parts_ = F.ceil(F.col("n") / F.lit(PART)).cast("long")
+    one = F.array(F.pmod(F.xxhash64("rep"), parts_))
+    every = F.sequence(F.lit(0).cast("long"), parts_ - 1)
+    part = F.explode(F.when(F.col("label") == F.col("main"), one).otherwise(every)).alias("part")
+    rows = rows.select("node", "rep", "label", "signature", part)
+    return rows.select(F.xxhash64("node", "part").alias("node"), "rep", "label", "signature")
+
+
 def _exhaustive(rows: DataFrame, join: _Join) -> DataFrame:
-    rows = rows.select("node", "rep", "label", "signature").repartition(parts(rows), "node").sortWithinPartitions("node")
-    return kept(rows.mapInArrow(_compare_nodes(join.floor), "a long, b long"), "pairs")
+    """The links that tasks find in nodes, which they compare with full texts."""
+    rows = kept(rows.select("node", "rep", "label", "signature"), "leaves")
+    texts = join.texts_of(rows.select(F.col("rep").alias("id"))).withColumnRenamed("id", "rep")
+    rows = rows.join(texts, "rep").select("node", "rep", "label", "signature", "text")
+    rows = rows.repartition(parts(rows), "node").sortWithinPartitions("node")
+    compare = _compare_nodes(join.size, join.similarity, join.floor)
+    return kept(rows.mapInArrow(compare, "a long, b long"), "links")
 
 
 def _blockwise(rows: DataFrame, join: _Join) -> DataFrame:
@@ -293,7 +358,7 @@ def near_groups(
     labels = kept(components(links), "labels").withColumnRenamed("id", "rep")
     label = F.coalesce("component", "rep").alias("label")
     labelled = kept(members.join(labels, "rep", "left").select("node", "rep", label), "members")
-    more = join.confirmed(_leaf_pairs(labelled, reps, join, FIRST_DEPTH))
+    more = _leaf_links(labelled, reps, join, FIRST_DEPTH)
 
     # Ids that share a set, and so a representative, are members of its component as well.
     same = usable.select("doc_id", "digest").join(groups.select("digest", "rep"), "digest")
