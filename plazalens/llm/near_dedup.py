@@ -5,8 +5,10 @@ with all representatives in its root. A node chooses one or two positions of the
 signature by a hash of its own path, so that every document finds its way alone, and a document
 goes to the child that its minwise value at a chosen position names. With a threshold t a node
 chooses 1/t positions on average: a pair of similarity t then stays together in one child on
-average. Small nodes are compared exhaustively; larger ones branch on. Several independent trees bring the recall up: a pair at a similarity of 0.8 is together at
-depth 3 of some tree of the default eight with a chance of 0.9997.
+average. At depth 3 nodes are compared, and several trees bring the recall up: of pairs at a
+similarity of 0.8 the default eight, which share a signature of 64 positions, miss 0.0011, the floor of
+agreement included. That does not depend on the size of nodes: small ones are compared exhaustively,
+and members of larger ones by their rarest shingles, of which linked sets always share one.
 
 Nothing is quadratic in a group of copies. Every member of a node is first compared with the
 node's smallest one. Those confirmed links make components, and only members of different
@@ -31,12 +33,14 @@ from .shingles import mix, shingle_sets
 
 POSITIONS = 64
 TREES = 8
-FIRST_DEPTH = 3
-LAST_DEPTH = 15
+FIRST_DEPTH = LAST_DEPTH = 3
+"""Nodes are compared at this depth: every further level would lose links."""
 SMALL = 256
 """Members of a node without its main label, at most, for it to be compared exhaustively."""
 PART = 1024
 """Members with the main label in a part of a node."""
+OFTEN = 32
+"""A shingle in no more sets than that counts as rare."""
 BROADCAST_IDS = 1_000_000
 """Ids sent to every task to pick texts, at most (8 bytes each); more are joined by a shuffle."""
 
@@ -111,20 +115,48 @@ def _paths(trees: int, depth: int, similarity: float):
     return paths
 
 
-def _deeper(levels: int, similarity: float):
-    def deeper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shingles_of(size: int):
+    """Rows ``id, text``: every shingle of the set once."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                shingles = np.concatenate(list(shingle_sets(batch.column(1).to_pylist(), size)))
+                yield pa.RecordBatch.from_arrays([pa.array(shingles.view(np.int64))], ["shingle"])
+
+    return of
+
+
+def prefix(shingles: np.ndarray, common: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """The rarest shingles of a set, so many that linked sets have one of them in common.
+
+    ``common`` holds frequent shingles, sorted, with ``counts``; others count as rarer. Any
+    order that all sets share will do: linked sets have at least ``least`` shingles in common, and
+    were no prefix shingle among these, all of them would lie in the ``least - 1`` after it.
+    """
+    least = -(-round(100 * similarity) * len(shingles) // 100)
+    often = np.zeros(len(shingles), np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+        often = np.where(common[at] == shingles, counts[at], 0)
+    return shingles[np.lexsort((shingles, often))[: len(shingles) - max(least, 1) + 1]]
+
+
+def _prefixes(size: int, similarity: float, common: np.ndarray, counts: np.ndarray):
+    """Rows ``id, text, label``: a row for each shingle of the prefix, which is a node."""
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            nodes = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            signatures, rows = _matrix(batch.column(3)), np.arange(batch.num_rows)
-            for _ in range(levels):
-                at, nodes = branch(nodes, signatures[rows], similarity)
-                rows = rows[at]
-            taken = batch.select([1, 2]).take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), *taken.columns], ["node", "rep", "label"])
+            sets = shingle_sets(batch.column(1).to_pylist(), size)
+            nodes = [prefix(shingles, common, counts, similarity) for shingles in sets]
+            rows = np.repeat(np.arange(batch.num_rows), [len(chosen) for chosen in nodes])
+            taken = batch.select([0, 2]).take(pa.array(rows))
+            columns = [pa.array(np.concatenate(nodes).view(np.int64)), *taken.columns]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "rep", "label"])
 
-    return deeper
+    return prefixes
 
 
 def _agreeing(floor: float):
@@ -272,25 +304,50 @@ def _mixed(members: DataFrame) -> DataFrame:
     return kept(nodes, "nodes")
 
 
-def _leaf_links(members: DataFrame, reps: DataFrame, join: _Join, depth: int) -> DataFrame:
+def _leaf_links(members: DataFrame, reps: DataFrame, join: _Join) -> DataFrame:
     """Links within nodes. Members with the main label need comparing with the others only,
-    so a node with few others is small, however large a group of near copies lies in it. A node
-    with many others branches on; what is left at the last depth is compared block by block."""
-    schema, found = "node long, rep long, label long", None
-    while True:
-        nodes = _mixed(members)
-        rows = members.join(nodes, "node").join(reps, "rep")
-        rows = kept(rows.select("node", "rep", "label", "signature", "n", "main", "others"), "members")
-        small, large = rows.filter(F.col("others") <= SMALL), rows.filter(F.col("others") > SMALL)
-        compared = _exhaustive(_dealt(small), join)
-        found = compared if found is None else found.unionByName(compared)
-        if large.isEmpty():
-            return found
-        if depth >= LAST_DEPTH:
-            return found.unionByName(_blockwise(large, join))
-        levels = min(2, LAST_DEPTH - depth)
-        branched = large.select("node", "rep", "label", "signature").mapInArrow(_deeper(levels, join.similarity), schema)
-        members, depth = kept(branched.distinct(), "members"), depth + levels
+    so a node with few others is small, however large a group of near copies lies in it. The
+    members of nodes with many others meet again in nodes that lose none of their links, one for
+    each rare shingle; such a node that still has many others is compared block by block."""
+    small, large = _by_others(members, reps)
+    found = _exhaustive(_dealt(small), join)
+    if large.isEmpty():
+        return found
+    small, large = _by_others(_rare_nodes(large.select("rep", "label").distinct(), join), reps)
+    found = found.unionByName(_exhaustive(_dealt(small), join))
+    return found if large.isEmpty() else found.unionByName(_blockwise(large, join))
+
+
+def _by_others(members: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The members of nodes with different labels: of those with few others, and with many."""
+    rows = members.join(_mixed(members), "node").join(reps, "rep")
+    rows = kept(rows.select("node", "rep", "label", "signature", "n", "main", "others"), "members")
+    return rows.filter(F.col("others") <= SMALL), rows.filter(F.col("others") > SMALL)
+
+
+def _rare_nodes(members: DataFrame, join: _Join) -> DataFrame:
+    """``node``, ``rep``, ``label``: a node for each shingle that is in members' prefixes, those
+    with the same members once. How often a shingle is found only shapes the order in which
+    prefixes are taken, so nothing is lost by knowing it for the most frequent ones only."""
+    members = kept(members, "members")
+    texts = join.texts_of(members.select(F.col("rep").alias("id")))
+    texts = kept(texts.join(members.withColumnRenamed("rep", "id"), "id").select("id", "text", "label"), "texts")
+    often = texts.select("id", "text").mapInArrow(_shingles_of(join.size), "shingle long").groupBy("shingle")
+    often = kept(often.agg(F.count("*").alias("n")).filter(F.col("n") > OFTEN), "often")
+    least = OFTEN
+    while often.filter(F.col("n") > least).count() > BROADCAST_IDS:
+        least *= 2
+    known = often.filter(F.col("n") > least).toArrow()
+    common, counts = (known.column(name).to_numpy() for name in ("shingle", "n"))
+    common = common.view(np.uint64)
+    order = np.argsort(common)
+    found = _prefixes(join.size, join.similarity, common[order], counts[order])
+    rows = kept(texts.mapInArrow(found, "node long, rep long, label long").distinct(), "prefixes")
+    wide = "decimal(38,0)"
+    sums = [F.sum(F.xxhash64("rep", F.lit(i)).cast(wide)).alias(f"h{i}") for i in range(2)]
+    nodes = rows.groupBy("node").agg(F.count("*").alias("n"), *sums, F.min("label").alias("low"), F.max("label").alias("high"))
+    nodes = nodes.filter("low < high").groupBy("n", "h0", "h1").agg(F.min("node").alias("node"))
+    return kept(rows.join(nodes.select("node"), "node"), "members")
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
@@ -314,11 +371,15 @@ def _exhaustive(rows: DataFrame, join: _Join) -> DataFrame:
 
 
 def _blockwise(rows: DataFrame, join: _Join) -> DataFrame:
-    """Members of a node in blocks, each pair of blocks a small node of its own."""
-    blocks = F.ceil(F.col("n") / F.lit(SMALL // 2)).cast("long")
-    mine = F.pmod(F.xxhash64("rep"), blocks).alias("mine")
-    rows = rows.select("*", blocks.alias("blocks"), mine)
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    """Members of a node in blocks, each pair of blocks a small node of its own. Blocks of
+    members with the main label are paired with blocks of others only."""
+    is_main = F.col("label") == F.col("main")
+    blocks = F.ceil(F.col("others") / F.lit(SMALL // 2)).cast("long")
+    mains = F.ceil((F.col("n") - F.col("others")) / F.lit(SMALL // 2)).cast("long")
+    mine = F.when(is_main, F.col("blocks") + F.pmod(F.xxhash64("rep"), mains)).otherwise(F.pmod(F.xxhash64("rep"), "blocks"))
+    rows = rows.withColumn("blocks", blocks).withColumn("mine", mine)
+    last = F.when(is_main, F.col("blocks")).otherwise(F.col("blocks") + mains) - 1
+    other = F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("other")
     rows = rows.select("node", "rep", "label", "signature", "mine", other)
     pair = F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other")).alias("node")
     return _exhaustive(rows.select(pair, "rep", "label", "signature"), join)
@@ -358,7 +419,7 @@ def near_groups(
     labels = kept(components(links), "labels").withColumnRenamed("id", "rep")
     label = F.coalesce("component", "rep").alias("label")
     labelled = kept(members.join(labels, "rep", "left").select("node", "rep", label), "members")
-    more = _leaf_links(labelled, reps, join, FIRST_DEPTH)
+    more = _leaf_links(labelled, reps, join)
 
     # Ids that share a set, and so a representative, are members of its component as well.
     same = usable.select("doc_id", "digest").join(groups.select("digest", "rep"), "digest")

@@ -172,6 +172,42 @@ def test_blocks_and_deep_nodes_find_what_is_left(documents, monkeypatch):
     assert sorted(map(tuple, got)) == sorted(near_rows(rows, 4))
 
 
+def test_pairs_among_thousands_that_share_a_passage(documents):
+    """Documents of one passage and words of their own are at 0.67 of each other; 400 of them
+    have a partner at 0.8."""
+    rng = random.Random(12)
+    passage, rows = [f"p{i}" for i in range(158)], []
+    for i in range(2400):
+        own = [f"o{i}x{j}" for j in range(39)]
+        rows.append((i, " ".join(passage + own)))
+        if i < 400:
+            changed = own[:18] + [f"c{i}x{j}" for j in range(21)]
+            rows.append((10_000 + i, " ".join(passage + changed)))
+    rng.shuffle(rows)
+    by_id = dict(rows)
+    for a, b, linked in [(0, 10_000, True), (0, 1, False), (10_000, 10_001, False)]:
+        one, other = shingles(by_id[a], 4), shingles(by_id[b], 4)
+        assert (100 * len(one & other) >= 80 * len(one | other)) == linked
+    got = {r.doc_id: r.component_id for r in near_dedup.near_groups(documents(rows), shingle=4).collect()}
+    found = sum(got[10_000 + i] == i for i in range(400))
+    assert found >= 398
+    assert all(got[i] == i for i in range(2400))
+
+
+def test_linked_sets_share_a_shingle_of_their_prefixes():
+    rng = np.random.default_rng(7)
+    for _ in range(500):
+        pool = rng.integers(0, 1 << 63, 60, np.uint64)
+        one, other = (np.unique(rng.choice(pool, rng.integers(1, 60), replace=False)) for _ in range(2))
+        both = np.unique(np.concatenate((one, rng.choice(pool, 3))))
+        common = np.unique(rng.choice(pool, 20))
+        counts = rng.integers(30, 90, len(common))
+        for x, y in ((one, other), (one, both)):
+            if near_dedup._linked(x, y, 0.8):
+                sides = [near_dedup.prefix(s, common, counts, 0.8) for s in (x, y)]
+                assert np.intersect1d(*sides).size
+
+
 def test_near_groups_of_no_rows(documents):
     assert near_dedup.near_groups(documents([])).collect() == []
 
