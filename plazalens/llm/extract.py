@@ -28,7 +28,7 @@ BLOCK = frozenset(
     " pre section summary table tbody td tfoot th thead title tr ul".split()
 )
 UNSEEN = frozenset("script style noscript template head title svg math iframe object canvas audio video map".split())
-SIDE = frozenset("nav footer aside form button select textarea input menu dialog".split())
+SIDE = frozenset("nav footer aside button select textarea input menu dialog".split())
 ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split()
 )
@@ -45,6 +45,8 @@ CLOSED_BY = {
     "th": frozenset(["td", "th", "tr", "tbody", "tfoot"]), "option": frozenset(["option", "optgroup"]),
 }
 ROOTS = frozenset(["article", "main"])
+NEVER_MARKED = frozenset(["html", "body", "article", "main"])
+"""Elements that no class, id or form makes side."""
 
 _MARK = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
@@ -58,6 +60,8 @@ class Line:
     tags: int
     root: int
     side: bool
+    within: tuple[int, ...] = ()
+    marked: tuple[int, ...] = ()
 
 
 @dataclass
@@ -67,6 +71,10 @@ class _Element:
     unseen: bool
     root: int
     link: bool
+    within: tuple[int, ...] = ()
+    """The blocks around the element's text, the outermost first."""
+    marked: tuple[int, ...] = ()
+    """Those of them that their class or id, or being a form, makes side unless they hold the content."""
 
 
 class _Lines(HTMLParser):
@@ -75,7 +83,9 @@ class _Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.roots = 0
+        self.roots = self.elements = 0
+        self.holders: set[int] = set()
+        """Marked elements that hold a root."""
         self._open: list[_Element] = [_Element("", False, False, 0, False)]
         self._text: list[str] = []
         self._tags = self._link_chars = 0
@@ -84,7 +94,7 @@ class _Lines(HTMLParser):
         text = " ".join("".join(self._text).split())
         if text:
             top = self._open[-1]
-            self.lines.append(Line(text, len(text), min(self._link_chars, len(text)), self._tags, top.root, top.side))
+            self.lines.append(Line(text, len(text), min(self._link_chars, len(text)), self._tags, top.root, top.side, top.within, top.marked))
             self._tags = 0
         self._text, self._link_chars = [], 0
 
@@ -109,15 +119,24 @@ class _Lines(HTMLParser):
     def _element(self, tag: str, attrs: dict[str, str | None], top: _Element) -> _Element:
         role = (attrs.get("role") or "").lower()
         marks = set(_MARK.findall(f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower()))
-        side = top.side or tag in SIDE or role in ROLES or bool(marks & MARKS)
+        side = top.side or tag in SIDE or role in ROLES
+        mark = tag not in NEVER_MARKED and (tag == "form" or bool(marks & MARKS))
         # A header within the article is its title; elsewhere it is the page's.
-        side = side or (not top.root and tag not in ROOTS and (tag == "header" or "header" in marks))
+        side = side or (not top.root and tag == "header")
+        mark = mark or (not top.root and tag not in NEVER_MARKED and "header" in marks)
         hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true" or bool(_HIDDEN.search(attrs.get("style") or ""))
         root = top.root
         if not side and not root and (tag in ROOTS or role in ("main", "article") or attrs.get("itemprop") == "articleBody"):
             self.roots += 1
             root = self.roots
-        return _Element(tag, side, top.unseen or tag in UNSEEN or hidden, root, top.link or tag == "a")
+            self.holders.update(top.marked)
+        within, marked = top.within, top.marked
+        if tag in BLOCK or mark:
+            self.elements += 1
+            within = (*within, self.elements)
+        if mark:
+            marked = (*marked, self.elements)
+        return _Element(tag, side, top.unseen or tag in UNSEEN or hidden, root, top.link or tag == "a", within, marked)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # as in HTML, a slash does not close an element
@@ -141,11 +160,31 @@ class _Lines(HTMLParser):
         self._end_line()
 
 
-def lines_of(html: str) -> list[Line]:
+def _parsed(html: str) -> _Lines:
     parser = _Lines()
     parser.feed(html)
     parser.close()
-    return parser.lines
+    return parser
+
+
+def lines_of(html: str) -> list[Line]:
+    return _parsed(html).lines
+
+
+def _decide_side(parser: _Lines, content: np.ndarray) -> None:
+    """A mark makes an element side only if it holds no root and not most of the characters of
+    content lines: of its root's, if it lies in one, else of the page's."""
+    lines, total, held = parser.lines, {}, {}
+    for i, line in enumerate(lines):
+        if content[i] and not line.side:
+            for root in {0, line.root}:
+                total[root] = total.get(root, 0) + line.chars
+            for at in line.marked:
+                held[at] = held.get(at, 0) + line.chars
+    for line in lines:
+        for at in line.marked:
+            most = 2 * held.get(at, 0) > total.get(line.root, 0)
+            line.side = line.side or not (most or at in parser.holders)
 
 
 def smoothed(ratios: np.ndarray, sigma: float = 1.0) -> np.ndarray:
@@ -174,12 +213,14 @@ def threshold(values: np.ndarray) -> float:
 
 def main_text(html: str | None) -> str:
     """The text of the content region, lines joined by a space; empty if there is none."""
-    lines = lines_of(html or "")
+    parser = _parsed(html or "")
+    lines = parser.lines
     if not lines:
         return ""
     ratios = np.array([line.chars / max(1, line.tags) for line in lines], float)
     values = smoothed(ratios)
     content = values >= threshold(values)
+    _decide_side(parser, content)
     own = [i for i, line in enumerate(lines) if not line.side]
     held: dict[int, list[int]] = {}
     for i in own:

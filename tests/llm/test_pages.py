@@ -142,6 +142,21 @@ def test_main_text(name):
     assert extract.main_text(html) == text
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        f"<body class='has-sidebar'><nav>Menu</nav><article>{BODY}</article></body>",
+        f"<body><div class='content no-sidebar'><article>{BODY}</article></div><footer>Foot</footer></body>",
+        f"<body class='single comments-open'><article class='post share'>{BODY}</article></body>",
+        f"<form id=all><input><main class=widget>{BODY}</main></form>",
+        f"<main><div class='content no-sidebar'>{BODY}</div></main>",
+        f"<article>{BODY}<div class='ad'>Buy</div><form>Name <input></form></article>",
+    ],
+)
+def test_a_mark_does_not_take_the_page(html):
+    assert extract.main_text(html) == SAID
+
+
 def test_extract(pages):
     rows = [(1, "u", CASES["article"][0]), (1, "u", CASES["article"][0]), (None, None, None), (2, None, ""), (3, "v", "<article>é" + "<p>word" * 20_000)]
     got = extract.extract(pages(rows)).collect()
