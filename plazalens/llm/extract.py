@@ -1,10 +1,10 @@
 """The main text of web pages.
 
 The standard library's parser streams a page's events. They make lines, one per block of text,
-each with the number of its characters and tags. The text-to-tag ratios of the lines are smoothed
+each with the number of its characters and tags. The logarithms of the lines' text-to-tag ratios are smoothed
 with a Gaussian, and two-means clustering gives the threshold above which lines are content. Those
 lines select the content region: the article or main element that holds most of them, or, on
-pages that have none, the stretch of lines that they span. All text of the region is kept, short
+pages that have none, the smallest block that holds most of them. All text of the region is kept, short
 lines too, but what lies in elements that are no content by their kind, role or class.
 """
 
@@ -211,6 +211,28 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
+def _container(lines: list[Line], own: list[int], content: np.ndarray) -> list[int]:
+    """All lines of the smallest block of two lines or more that holds most of the content
+    lines and of their characters; links do not count as content. Else all lines."""
+    found = [i for i in own if content[i] and 2 * lines[i].link_chars < lines[i].chars]
+    size: dict[int, int] = {}
+    for i in own:
+        for at in lines[i].within:
+            size[at] = size.get(at, 0) + 1
+    held: dict[int, list[int]] = {}
+    for i in found:
+        for at in lines[i].within:
+            weight = held.setdefault(at, [0, 0])
+            weight[0] += 1
+            weight[1] += lines[i].chars
+    chars = sum(lines[i].chars for i in found)
+    most = [at for at, (n, c) in held.items() if 2 * n > len(found) and 2 * c > chars and size[at] > 1]
+    if not most:
+        return own
+    region = min(most, key=lambda at: (size[at], -at))
+    return [i for i in own if region in lines[i].within]
+
+
 def main_text(html: str | None) -> str:
     """The text of the content region, lines joined by a space; empty if there is none."""
     parser = _parsed(html or "")
@@ -218,7 +240,7 @@ def main_text(html: str | None) -> str:
     if not lines:
         return ""
     ratios = np.array([line.chars / max(1, line.tags) for line in lines], float)
-    values = smoothed(ratios)
+    values = smoothed(np.log(ratios))
     content = values >= threshold(values)
     _decide_side(parser, content)
     own = [i for i, line in enumerate(lines) if not line.side]
@@ -232,9 +254,7 @@ def main_text(html: str | None) -> str:
         region = max(held, key=lambda root: (held[root], -root))
         chosen = [i for i in own if lines[i].root == region]
     else:
-        found = [i for i in own if content[i] and 2 * lines[i].link_chars < lines[i].chars]
-        inside = range(found[0], found[-1] + 1) if found else range(len(lines))
-        chosen = [i for i in own if i in inside and 2 * lines[i].link_chars < lines[i].chars]
+        chosen = _container(lines, own, content)
     return " ".join(lines[i].text for i in chosen)
 
 

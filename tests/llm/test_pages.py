@@ -157,6 +157,17 @@ def test_a_mark_does_not_take_the_page(html):
     assert extract.main_text(html) == SAID
 
 
+def test_pages_without_article_are_read_whole():
+    short = [f"Paragraph {i} " + "of some words " * 10 for i in range(20)]
+    items = ["See one", "See two"]
+    body = "<h1>Title</h1>" + "".join(f"<p>{p}</p>" for p in short) + f"<p>{'long words ' * 450}</p>"
+    body += "<ul>" + "".join(f"<li><a href=x>{i}</a></li>" for i in items) + "</ul>"
+    html = f"<body><div><a href=/>Home</a> <a href=/b>Other</a></div><div id=c>{body}</div><div><a href=x>Link</a></div></body>"
+    said = " ".join(["Title", *short, "long words " * 450, *items])
+    assert extract.main_text(html) == " ".join(said.split())
+    assert extract.main_text(f"<form><div class=no-sidebar><div id=c>{BODY}</div></div></form>") == SAID
+
+
 def test_extract(pages):
     rows = [(1, "u", CASES["article"][0]), (1, "u", CASES["article"][0]), (None, None, None), (2, None, ""), (3, "v", "<article>é" + "<p>word" * 20_000)]
     got = extract.extract(pages(rows)).collect()
