@@ -250,7 +250,8 @@ def main_text(html: str | None) -> str:
             weight = held.setdefault(lines[i].root, [0, 0])
             weight[0] += lines[i].chars if content[i] else 0
             weight[1] += lines[i].chars
-    if held:
+    # Clusters overrule an article or main that holds no content line while other text does.
+    if held and (max(held.values())[0] or not any(content[i] for i in own)):
         region = max(held, key=lambda root: (held[root], -root))
         chosen = [i for i in own if lines[i].root == region]
     else:

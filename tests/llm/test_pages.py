@@ -168,6 +168,13 @@ def test_pages_without_article_are_read_whole():
     assert extract.main_text(f"<form><div class=no-sidebar><div id=c>{BODY}</div></div></form>") == SAID
 
 
+def test_an_article_without_content_is_not_the_page():
+    text = "Words of a longer paragraph that say what the page is about. " * 5
+    body = "".join(f"<p>{text}</p>" for _ in range(6))
+    html = f"<body><article><b><i>Hi</i></b></article><div><a>x</a><a>y</a></div><div><a>x</a><a>y</a></div><div id=c>{body}</div></body>"
+    assert extract.main_text(html) == " ".join([text.strip()] * 6)
+
+
 def test_extract(pages):
     rows = [(1, "u", CASES["article"][0]), (1, "u", CASES["article"][0]), (None, None, None), (2, None, ""), (3, "v", "<article>é" + "<p>word" * 20_000)]
     got = extract.extract(pages(rows)).collect()
