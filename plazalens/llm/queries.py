@@ -44,7 +44,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls, results = tool_calls.from_conversations(table(spark, sf_dir, "conversations"))
-    return tool_calls.link(calls, results, tool_calls.TOOLS)
+    return tool_calls.link(calls, results, tool_calls.TOOLS, every_row=True)
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -67,7 +67,7 @@ def levels(calls: DataFrame) -> DataFrame:
     return state.select("call_id", F.when(F.col("up").isNull(), F.col("level")).alias("level"))
 
 
-def link(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Schema]) -> DataFrame:
+def link(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Schema], every_row: bool = False) -> DataFrame:
     """One row for each different call and each result without a call: ``conv_id``,
     ``call_id``, ``name``, ``level``, ``place`` in its conversation, ``status``, ``errors``,
     ``message``.
@@ -80,27 +80,48 @@ def link(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Schema]) ->
     object are an error and written as null. Places follow the level, then the position, then
     the id; circles come last, orphans after them. Empty tables give an empty table.
 
+    With ``every_row``, calls and results are linked within their conversation (NULL is one like
+    any other), and no row is left out: further calls and results of an id come as rows of their
+    own with the status ``duplicate``, those without an id as ``unidentified``, after the orphans.
+
     Copies of an id are reduced in each task before the join, and places are counted over
     ranges, so neither a much-used id nor a very long conversation is left to one task.
     """
-    first_call = F.min(F.struct("conv_id", "position", "name", "arguments", "needs")).alias("call")
-    made = calls.filter("call_id IS NOT NULL").groupBy("call_id").agg(first_call).select("call_id", "call.*")
+    call_fields = ["conv_id", "position", "call_id", "name", "arguments", "needs"]
+    result_fields = ["conv_id", "position", "call_id", "content"]
+    calls = calls.select(*call_fields, _key("call_id", every_row).alias("key"), _key("needs", every_row).alias("needs_key"))
+    results = results.select(*result_fields, _key("call_id", every_row).alias("key"))
+    first_call = F.min(F.struct("conv_id", "position", "name", "arguments", "needs", "call_id", "needs_key")).alias("call")
+    made = calls.filter("key IS NOT NULL").groupBy("key").agg(first_call).select("key", "call.*")
     made = kept(made, "calls")
-    first_result = F.min(F.struct("conv_id", "position", "content")).alias("result")
-    given = kept(results.filter("call_id IS NOT NULL").groupBy("call_id").agg(first_result), "results")
-    ordered = made.join(levels(made.select("call_id", "needs")), "call_id")
-    both = ordered.withColumn("called", F.lit(True)).join(given, "call_id", "full")
+    first_result = F.min(F.struct("conv_id", "position", "content", "call_id")).alias("result")
+    given = kept(results.filter("key IS NOT NULL").groupBy("key").agg(first_result), "results")
+    level_of = levels(made.select(F.col("key").alias("call_id"), F.col("needs_key").alias("needs")))
+    ordered = made.join(level_of.withColumnRenamed("call_id", "key"), "key")
+    both = ordered.withColumn("called", F.lit(True)).join(given, "key", "full")
     status = F.when(F.col("called").isNull(), "orphan").when(F.col("result").isNull(), "pending").otherwise("linked")
     errors = argument_errors(F.col("name"), F.col("arguments"), schemas)
     rows = both.select(
         F.coalesce("conv_id", "result.conv_id").alias("conv_id"),
-        "call_id", "name", "level", "needs", "arguments",
+        F.coalesce("call_id", "result.call_id").alias("call_id"),
+        "name", "level", "needs", "arguments",
         F.coalesce("position", "result.position").alias("position"),
         status.alias("status"),
         F.when(F.col("called"), F.array_join(errors, "; ")).alias("errors"),
         F.col("result.content").alias("content"),
-        F.col("called").isNull().alias("__orphan"),
+        F.col("called").isNull().cast("int").alias("__orphan"),
     )
+    if every_row:
+        firsts = made.select("key", F.struct("position", "name", "arguments", "needs").alias("first"))
+        more_calls = _further(calls.drop("needs_key"), firsts, ["position", "name", "arguments", "needs"])
+        firsts = given.select("key", F.struct("result.position", "result.content").alias("first"))
+        more_results = _further(results, firsts, ["position", "content"])
+        nothing = lambda *names: {name: F.lit(None).cast("string") for name in names}
+        more_calls = more_calls.withColumns({"errors": F.array_join(errors, "; "), **nothing("content")})
+        more_results = more_results.withColumns(nothing("name", "needs", "arguments", "errors"))
+        more = more_calls.unionByName(more_results)
+        more = more.withColumns({"level": F.lit(None).cast("long"), "__orphan": F.when(F.col("status") == "duplicate", 2).otherwise(3)})
+        rows = rows.unionByName(more.select(*rows.columns))
     order = [F.col("__orphan"), F.col("level").asc_nulls_last(), F.col("position").asc_nulls_last(), F.col("call_id")]
     placed = with_place(rows, ["conv_id"], order, "place")
     message = canonical(
@@ -117,6 +138,25 @@ def link(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Schema]) ->
     return placed.select("conv_id", "call_id", "name", "level", "place", "status", "errors", message.alias("message"))
 
 
+def _key(column: str, in_conversation: bool) -> Column:
+    """What calls and results are linked by; NULL for rows without an id."""
+    if not in_conversation:
+        return F.col(column)
+    return F.when(F.col(column).isNotNull(), F.to_json(F.struct("conv_id", F.col(column).alias("id"))))
+
+
+def _further(rows: DataFrame, firsts: DataFrame, fields: list[str]) -> DataFrame:
+    """The rows that are not the ``first`` of their ``key``, with their status. Of equal rows,
+    counted in each task before they meet, one can be the first."""
+    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+    joined = counted.join(firsts, "key", "left")
+    spare = F.col("n") - F.when(F.struct(*fields).eqNullSafe(F.col("first")), 1).otherwise(0)
+    spare = F.when(F.col("key").isNull(), F.col("n")).otherwise(spare).cast("int")
+    status = F.when(F.col("key").isNull(), "unidentified").otherwise("duplicate").alias("status")
+    copies = joined.withColumn("n", spare).filter("n > 0")
+    return copies.select("*", status, F.explode(F.array_repeat(F.lit(1), F.col("n")))).drop("key", "first", "n", "col")
+
+
 def _text(column: str) -> Column:
     """A text column as a JSON string."""
     inner = F.to_json(F.array(F.col(column)))

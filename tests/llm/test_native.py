@@ -237,6 +237,23 @@ def test_links_and_order(tables):
     assert tool_calls.link(*tables([], []), SCHEMAS).collect() == []
 
 
+def test_every_row_comes_out_and_conversations_have_their_own_ids(tables):
+    made = [
+        (1, 1, "call_1", "f", '{"n": 1}', None), (2, 1, "call_1", "f", "{}", None), (2, 2, "call_2", "f", "{}", "call_1"),
+        (1, 1, "call_1", "f", '{"n": 1}', None), (1, 3, "call_1", "g", "{}", None), (None, 1, "call_1", "f", "{}", None),
+        (1, 4, None, "f", "{}", None), (1, 4, None, "f", "{}", None),
+    ]
+    given = [(1, 2, "call_1", "a"), (1, 5, "call_1", "b"), (2, 3, "call_1", "c"), (2, 3, "call_1", "c"), (2, 9, None, "d"), (3, 1, "call_2", "e"), (None, 2, "call_1", "f")]
+    got = tool_calls.link(*tables(made, given), SCHEMAS, every_row=True).collect()
+    found = sorted(((r.conv_id, r.call_id, r.status, r.level, json.loads(r.message)["result"]) for r in got), key=repr)
+    expected = [
+        (1, "call_1", "linked", 0, "a"), (2, "call_1", "linked", 0, "c"), (2, "call_2", "pending", 1, None), (None, "call_1", "linked", 0, "f"),
+        (1, "call_1", "duplicate", None, None), (1, "call_1", "duplicate", None, None), (1, "call_1", "duplicate", None, "b"), (2, "call_1", "duplicate", None, "c"),
+        (1, None, "unidentified", None, None), (1, None, "unidentified", None, None), (2, None, "unidentified", None, "d"), (3, "call_2", "orphan", None, "e"),
+    ]
+    assert found == sorted(expected, key=repr)
+
+
 def test_long_chains_take_few_rounds(spark, monkeypatch):
     rounds, keep = [], tool_calls.kept
     monkeypatch.setattr(tool_calls, "kept", lambda df, name: rounds.append(name) or keep(df, name))
