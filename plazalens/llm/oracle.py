@@ -121,7 +121,74 @@ _TOOL_CALLS = r"""
         || ',"status":' || to_json(status)::VARCHAR || '}' AS message
     FROM b"""
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+_DECONTAMINATION = rf"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    b AS (SELECT item_id, regexp_extract_all(
+            translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+    bk AS (SELECT item_id, w, least(len(w), 10) AS k FROM b WHERE len(w) > 0),
+    bw AS (SELECT DISTINCT item_id, k, unnest(list_transform(range(1, len(w) - k + 2),
+        lambda i: array_to_string(w[i:i + k - 1], ' '))) AS win FROM bk),
+    ks AS (SELECT DISTINCT k FROM bw),
+    p AS (SELECT r, k, unnest(list_transform(range(1, len(w) - k + 2),
+        lambda i: {{'i': i, 'win': array_to_string(w[i:i + k - 1], ' ')}})) AS s FROM d, ks WHERE len(w) >= k),
+    h AS (SELECT r, s.i AS i, p.k, item_id FROM p JOIN bw ON p.k = bw.k AND s.win = bw.win),
+    c AS (SELECT r, count(DISTINCT hit) AS n FROM (SELECT r, unnest(range(i, i + k)) AS hit FROM h) GROUP BY r),
+    t AS (SELECT r, list_sort(list(DISTINCT item_id::VARCHAR)) AS items FROM h GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
+        sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(c.n, 0) > 0 AS contaminated
+    FROM d LEFT JOIN c USING (r) LEFT JOIN t USING (r)"""
+
+_REPAIR = r"""
+    WITH RECURSIVE tab AS (SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)),
+        lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+    k AS (SELECT coalesce('=' || conv_id, '-') AS key, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS named FROM conversations),
+    g AS (SELECT key, turn, role, text, xor(list_reduce(
+        list_concat([4294967295], list_transform(string_split(named, ''), lambda x: ascii(x)::BIGINT)),
+        lambda c, b: xor(c >> 8, tab[xor(c & 255, b) + 1])), 4294967295) % 20 AS kind FROM k, tab),
+    d AS (SELECT key, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM g),
+    o AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY turn NULLS FIRST, role, text) AS place FROM d),
+    f AS (SELECT key, place, turn, role, text, left(role, 1) AS initial, CASE
+        WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b'
+        WHEN row_number() OVER (PARTITION BY key, role, text ORDER BY place) > 1 THEN 'd'
+        WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 't' ELSE '-' END AS fault FROM o),
+    ins(q, to_q, cost, edits, lines) AS (VALUES (0, 0, 0, '', ''), (0, 2, 3, 'I', E'\nuser:'), (0, 3, 6, 'II', E'\nuser:\nassistant:'),
+        (1, 1, 0, '', ''), (1, 2, 3, 'I', E'\nuser:'), (1, 3, 6, 'II', E'\nuser:\nassistant:'),
+        (2, 2, 0, '', ''), (2, 3, 3, 'I', E'\nassistant:'), (3, 3, 0, '', ''), (3, 2, 3, 'I', E'\nuser:')),
+    edit(q, edit, initial, to_q, cost, role) AS (VALUES (0, 'D', NULL, 0, 4, ''), (1, 'D', NULL, 1, 4, ''), (2, 'D', NULL, 2, 4, ''),
+        (3, 'D', NULL, 3, 4, ''), (0, 'K', 's', 1, 0, NULL), (0, 'K', 'u', 2, 0, NULL), (1, 'K', 'u', 2, 0, NULL),
+        (3, 'K', 'u', 2, 0, NULL), (2, 'K', 'a', 3, 0, NULL), (0, 'R', NULL, 2, 3, 'user'), (1, 'R', NULL, 2, 3, 'user'),
+        (3, 'R', NULL, 2, 3, 'user'), (2, 'R', NULL, 3, 3, 'assistant')),
+    st AS (SELECT key, 0::BIGINT AS place, 0 AS q, {'cost': 0, 'audit': '', 'lines': ''} AS best FROM (SELECT DISTINCT key FROM f)
+        UNION ALL
+        SELECT st.key, f.place, edit.to_q, min({
+            'cost': st.best.cost + ins.cost + edit.cost + CASE WHEN edit.edit <> 'D' AND f.fault = 't' THEN 3 ELSE 0 END,
+            'audit': st.best.audit || ins.edits || edit.edit,
+            'lines': st.best.lines || ins.lines || CASE WHEN edit.edit = 'D' THEN '' ELSE E'\n' || coalesce(edit.role, f.role) || ':' || f.text END})
+        FROM st JOIN f ON f.key = st.key AND f.place = st.place + 1 JOIN ins ON ins.q = st.q JOIN edit ON edit.q = ins.to_q
+        WHERE (edit.edit = 'D' OR f.fault NOT IN ('b', 'd')) AND (edit.initial IS NULL OR edit.initial = f.initial)
+        GROUP BY st.key, f.place, edit.to_q),
+    n AS (SELECT key, max(place) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+        count(*) FILTER (fault = 't') AS truncated FROM f GROUP BY key),
+    ill AS (SELECT a.key, count(*) AS n FROM f a JOIN f b ON a.key = b.key AND b.place = a.place + 1
+        WHERE a.initial || b.initial NOT IN ('su', 'ua', 'au') GROUP BY a.key),
+    e AS (SELECT st.key, min({'cost': best.cost + ins.cost, 'audit': best.audit || ins.edits, 'lines': best.lines || ins.lines}) AS best
+        FROM st JOIN n ON n.key = st.key AND st.place = n.n JOIN ins ON ins.q = st.q WHERE ins.to_q IN (0, 3) GROUP BY st.key)
+    SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+        coalesce(truncated, 0)::BIGINT AS truncated, coalesce(ill.n, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+        coalesce(best.audit, '') AS audit, sha256(coalesce(substr(best.lines, 2), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id, coalesce('=' || conv_id, '-') AS key FROM conversations) c
+    LEFT JOIN n ON n.key = c.key LEFT JOIN ill ON ill.key = c.key LEFT JOIN e ON e.key = c.key"""
+
 ORACLE: dict[str, str] = {
+    "op11_decontamination": _DECONTAMINATION,
+    "op12_conversation_repair": _REPAIR,
     "op8_tool_calls": _TOOL_CALLS,
     "op4_quality_rules": _QUALITY,
     "op5_mixing": _MIXING,

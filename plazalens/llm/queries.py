@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import blocks, exact_dedup, extract, langid, mixing, near_dedup, packing, quality, tool_calls, warc
+from . import blocks, conversation_repair, decontamination, exact_dedup, extract, langid, mixing, near_dedup, packing
+from . import quality, tool_calls, warc, whitening
 from .common import ship, table
 
 
@@ -55,6 +56,18 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -76,5 +89,8 @@ QUERIES: dict[str, Query] = {
         op8_tool_calls,
         op9_near_dedup,
         op10_html_extraction,
+        op11_decontamination,
+        op12_conversation_repair,
+        op13_embedding_whitening,
     )
 }
