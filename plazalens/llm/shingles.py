@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,11 +23,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _tables(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse. A worker keeps those of two chunks, no more."""
     global _powers, _inverses
-    if len(_powers) < size:
-        with np.errstate(over="ignore"):
-            _powers = np.cumprod(np.full(size, _BASE))
-            _inverses = np.cumprod(np.full(size, _INVERSE))
+    with np.errstate(over="ignore"):
+        if size > 2 * _CHUNK:
+            return np.cumprod(np.full(size, _BASE)), np.cumprod(np.full(size, _INVERSE))
+        if len(_powers) < size:
+            _powers = np.cumprod(np.full(2 * _CHUNK, _BASE))
+            _inverses = np.cumprod(np.full(2 * _CHUNK, _INVERSE))
     return _powers, _inverses
 
 
@@ -40,8 +44,28 @@ def segment_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) ->
     return mix(raw ^ mix((ends - starts).astype(np.uint64)))
 
 
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def _pieces(text: bytes) -> Iterator[bytes]:
+    """A text in pieces of about a chunk that cut no word."""
+    at = 0
+    while len(text) - at > _CHUNK and (blank := _BLANK.search(text, at + _CHUNK)):
+        yield text[at : blank.start()]
+        at = blank.end()
+    yield text[at:] if at else text
+
+
 def _word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, letters A-Z as a-z, and the number of words of each text."""
+    """Hashes of all words, letters A-Z as a-z, and the number of words of each text. What is held
+    beside the hashes does not grow with the texts."""
+    if len(texts) == 1 and len(texts[0]) > _CHUNK:
+        found = [_hashes_at_once([piece])[0] for piece in _pieces(texts[0])]
+        return np.concatenate(found), np.array([sum(map(len, found))])
+    return _hashes_at_once(texts)
+
+
+def _hashes_at_once(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     joined = np.frombuffer(b" ".join(texts) + b" ", np.uint8).copy()
     upper = (joined >= 65) & (joined <= 90)
     joined[upper] += 32
@@ -79,10 +103,11 @@ def shingle_sets(texts: list[bytes | None], size: int) -> Iterator[np.ndarray]:
         chunk: list[bytes] = []
         held = 0
         for text in texts:
-            chunk.append(text or b"")
-            held += len(chunk[-1])
-            if held >= _CHUNK:
+            text = text or b""
+            if chunk and held + len(text) > _CHUNK:
                 yield from _sets_of(chunk, size)
                 chunk, held = [], 0
+            chunk.append(text)
+            held += len(text)
         if chunk:
             yield from _sets_of(chunk, size)

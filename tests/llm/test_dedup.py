@@ -61,6 +61,14 @@ def test_drop_copies_keeps_columns_and_repeated_rows(documents):
     assert sorted((r.doc_id for r in got.collect()), key=repr) == sorted(kept, key=repr)
 
 
+def test_drop_copies_goes_by_id_and_text(documents):
+    rows = [(1, "A"), (1, "B"), (0, "B"), (2, "A"), (1, "A"), (None, "C"), (None, "B"), (3, "C")]
+    got = exact_dedup.drop_copies(documents(rows)).collect()
+    kept = exact_dedup.exact_groups(documents(rows)).filter("kept").collect()
+    assert sorted((r.doc_id, r.text) for r in got) == [(0, "B"), (1, "A"), (1, "A"), (3, "C")]
+    assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in kept)
+
+
 def test_directory_splits_and_doubles():
     directory = exact_dedup.Directory(4, capacity=3)
     rng = random.Random(4)
@@ -164,17 +172,21 @@ def test_a_large_group_of_near_copies(documents):
     assert all(r.kept for r in got if r.doc_id >= 1000)
 
 
-def test_blocks_and_deep_nodes_find_what_is_left(documents, monkeypatch):
+@pytest.mark.parametrize("last", [3, 9])
+def test_blocks_and_deep_nodes_find_what_is_left(documents, monkeypatch, last):
     monkeypatch.setattr(near_dedup, "SMALL", 2)
-    monkeypatch.setattr(near_dedup, "LAST_DEPTH", 3)
+    monkeypatch.setattr(near_dedup, "PART", 4)
+    monkeypatch.setattr(near_dedup, "LAST_DEPTH", last)
     rows = variants(11)
     got = near_dedup.near_groups(documents(rows), shingle=4).collect()
     assert sorted(map(tuple, got)) == sorted(near_rows(rows, 4))
 
 
-def test_pairs_among_thousands_that_share_a_passage(documents):
+@pytest.mark.parametrize("part", [near_dedup.PART, 300])
+def test_pairs_among_thousands_that_share_a_passage(documents, monkeypatch, part):
     """Documents of one passage and words of their own are at 0.67 of each other; 400 of them
-    have a partner at 0.8."""
+    have a partner at 0.8. In smaller parts their nodes have to branch on."""
+    monkeypatch.setattr(near_dedup, "PART", part)
     rng = random.Random(12)
     passage, rows = [f"p{i}" for i in range(158)], []
     for i in range(2400):
@@ -194,18 +206,48 @@ def test_pairs_among_thousands_that_share_a_passage(documents):
     assert all(got[i] == i for i in range(2400))
 
 
-def test_linked_sets_share_a_shingle_of_their_prefixes():
-    rng = np.random.default_rng(7)
-    for _ in range(500):
-        pool = rng.integers(0, 1 << 63, 60, np.uint64)
-        one, other = (np.unique(rng.choice(pool, rng.integers(1, 60), replace=False)) for _ in range(2))
-        both = np.unique(np.concatenate((one, rng.choice(pool, 3))))
-        common = np.unique(rng.choice(pool, 20))
-        counts = rng.integers(30, 90, len(common))
-        for x, y in ((one, other), (one, both)):
-            if near_dedup._linked(x, y, 0.8):
-                sides = [near_dedup.prefix(s, common, counts, 0.8) for s in (x, y)]
-                assert np.intersect1d(*sides).size
+def test_thousands_of_near_copies_take_linear_work(spark, documents, monkeypatch):
+    """Variants of one template, which link among themselves but often not with the smallest."""
+    rng, seen = random.Random(9), []
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(3000):
+        words = list(base)
+        for at in rng.sample(range(150), 2):
+            words[at] = f"v{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    rows += [(9000 + i, " ".join([f"z{i}a{j}" for j in range(100)] + base[:60])) for i in range(600)]
+    compared = near_dedup._exhaustive
+
+    def counted(part, join):
+        links = compared(part, join)
+        seen.append((part.count(), links.count()))
+        return links
+
+    monkeypatch.setattr(near_dedup, "_exhaustive", counted)
+    got = near_dedup.near_groups(documents(rows), shingle=4).collect()
+    assert {r.component_id for r in got if r.doc_id < 3000} == {0}
+    assert all(r.kept for r in got if r.doc_id >= 9000)
+    assert sum(members for members, _ in seen) <= 40 * len(rows)
+    assert sum(links for _, links in seen) <= 20 * len(rows)
+
+
+def test_trees_keep_the_promised_share():
+    assert near_dedup.lost(3, 0.8) == pytest.approx(0.3575, abs=1e-3)
+    for depth in (3, 6, 9, 15):
+        trees = near_dedup.trees_for(depth, 0.8)
+        assert near_dedup.lost(depth, 0.8) ** trees <= near_dedup.MISSED < near_dedup.lost(depth, 0.8) ** (trees - 1)
+
+
+def test_bits_and_sets_agree_on_links(monkeypatch):
+    rng = random.Random(4)
+    texts = [text.encode() for _, text in variants(6)] + [b"", b"one"]
+    pairs = np.array([(rng.randrange(len(texts)), rng.randrange(len(texts))) for _ in range(800)])
+    found = []
+    for words in (near_dedup.BIT_WORDS, 0):
+        monkeypatch.setattr(near_dedup, "BIT_WORDS", words)
+        found.append(near_dedup._Sets(texts, 4, 0.8).linked(*pairs[pairs[:, 0] != pairs[:, 1]].T))
+    assert (found[0] == found[1]).all() and found[0].any()
 
 
 def test_near_groups_of_no_rows(documents):
@@ -228,6 +270,17 @@ def test_shingle_sets_are_those_of_the_words():
     assert np.array_equal(one, two)
 
 
+def test_a_very_long_text_leaves_nothing_behind():
+    from plazalens.llm import shingles as module
+
+    text = b" ".join(b"w%d" % i for i in range(600_000)) + b" end"
+    (whole,) = shingle_sets([text], 4)
+    assert len(whole) == 600_001 - 3
+    (same,) = shingle_sets([text.replace(b" ", b"\n", 5)], 4)
+    assert np.array_equal(whole, same)
+    assert len(module._powers) <= 2 * module._CHUNK
+
+
 def test_recall_of_the_trees():
     """Pairs at a similarity of 0.8 meet at depth 3 of some tree."""
     rng = np.random.default_rng(5)
