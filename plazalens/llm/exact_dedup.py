@@ -193,12 +193,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns; as in `exact_groups`, rows without an id
-    stay where no copy has one."""
+    """The documents that stay, with all their columns: the rows that `exact_groups` calls kept,
+    and rows without an id where no copy has one. A row stays by its id and its text, so of rows
+    that share an id only those stay whose own text has no smaller id."""
     index = build_index(docs, id_col, text_col)
-    keep = index.select(F.col("keep_id").alias("__keep")).filter("__keep IS NOT NULL")
-    by_id = docs.join(keep, docs[id_col] == F.col("__keep"), "left_semi")
-    nameless = index.filter("keep_id IS NULL").select(F.col("digest").alias("__digest"))
+    keep = index.select(F.col("keep_id").alias("__keep"), F.col("digest").alias("__digest"))
     digest = F.unhex(F.sha2(normalised(docs[text_col]), 256))
-    alone = docs.filter(docs[id_col].isNull()).join(nameless, digest == F.col("__digest"), "left_semi")
-    return by_id.unionByName(alone)
+    return docs.join(keep, (digest == F.col("__digest")) & docs[id_col].eqNullSafe(F.col("__keep")), "left_semi")
