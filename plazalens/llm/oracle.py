@@ -107,7 +107,7 @@ _TOOL_CALLS = r"""
             CASE WHEN name <> 'count' AND NOT has_query THEN 'missing query' END,
             CASE WHEN name = 'count' AND has_query THEN 'unknown query' END], lambda x: x IS NOT NULL), '; ') END AS errors,
         CASE WHEN parsed THEN '{"chars":' || n || ',"limit":' || CASE WHEN number THEN turn::VARCHAR ELSE '"' || turn || '"' END
-            || CASE WHEN has_query THEN ',"query":' || to_json(left(coalesce(text, ''), 40))::VARCHAR ELSE '' END || '}' END AS arguments
+            || CASE WHEN has_query THEN ',"query":' || to_json(coalesce(text, ''))::VARCHAR ELSE '' END || '}' END AS arguments
         FROM p JOIN l ON p.id = l.id),
     b AS (SELECT coalesce(e.conv_id, r.conv_id) AS conv_id, coalesce(e.id, r.id) AS call_id, name, level, needs,
         coalesce(e.turn, r.turn) AS position, errors, arguments, r.text AS content, e.id IS NULL AS orphan,

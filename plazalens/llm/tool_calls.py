@@ -184,7 +184,7 @@ def from_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results in conversations, which have only texts.
 
     Every assistant turn is a call: of ``search``, ``read``, ``count`` or an unknown tool by its
-    length modulo 7, with its length, turn and first 40 characters as arguments. Turns whose
+    length modulo 7, with its length, turn and whole text as arguments. Turns whose
     length is a multiple of 5 give the turn as text, multiples of 11 no query, multiples of 13
     cut JSON. If its length is even, a call needs that of two turns before. Every other turn is
     the result of the turn before it.
@@ -192,7 +192,7 @@ def from_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     size, text = F.length(F.coalesce("text", F.lit(""))), F.coalesce("text", F.lit(""))
     name = F.element_at(F.array(*map(F.lit, ("search", "read", "count", "search", "read", "search", "draw"))), size % 7 + 1)
     limit = F.when(size % 5 == 0, F.concat(F.lit('"'), F.col("turn").cast("string"), F.lit('"'))).otherwise(F.col("turn").cast("string"))
-    query = F.to_json(F.array(F.substring(text, 1, 40)))
+    query = F.to_json(F.array(text))
     query = F.concat(F.lit('"query": '), F.substring(query, F.lit(2), F.length(query) - 2), F.lit(", "))
     query = F.when(size % 11 == 0, F.lit("")).otherwise(query)
     arguments = F.concat(F.lit("{"), query, F.lit('"limit": '), limit, F.lit(', "chars": '), size.cast("string"))
