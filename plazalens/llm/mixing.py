@@ -163,19 +163,15 @@ def plan(rows: DataFrame, weights: DataFrame | None = None) -> DataFrame:
 
 def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The documents as often as the mix takes them, with all their columns. The document at a
-    source's threshold comes once more with its first words only. The texts are not shuffled:
-    the thresholds, one row per source, go to them."""
+    source's threshold, of which the mix takes a part, comes whole or not at all, whichever is
+    nearer (whole at one half), so a source stays within a document of its target. The texts are
+    not shuffled: the thresholds, one row per source, go to them."""
     rows = sized(docs, id_col, text_col, source_col)
     state = plan(kept(rows, "sized"))
     names = docs.columns
     mine = {"key": _key(docs[source_col]), "size": F.size(words(docs[text_col])).cast("long"), "hash": id_hash(docs[id_col])}
     whole = docs.select(F.struct(*names).alias("row"), *[value.alias(name) for name, value in mine.items()])
     taken = whole.join(state, "key").select("row", "size", _taken().alias("taken")).filter("taken > 0")
-    part = F.col("taken") % F.col("size")
-    sizes = F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>"))
-    takes = F.concat(F.array_repeat(F.col("size"), (F.col("taken") / F.col("size")).cast("int")), sizes)
-    each = taken.select("row", "size", F.explode(takes).alias("take"))
-    text = F.col(f"row.`{text_col}`")
-    cut = F.array_join(F.slice(words(text), F.lit(1), F.col("take").cast("int")), " ")
-    text = F.when(F.col("take") < F.col("size"), cut).otherwise(text)
-    return each.select(*[text.alias(text_col) if name == text_col else F.col(f"row.`{name}`").alias(name) for name in names])
+    times = F.expr("taken div size + if(2 * (taken % size) >= size, 1, 0)").cast("int")
+    each = taken.select("row", F.explode(F.array_repeat(F.lit(0), times)))
+    return each.select(*[F.col(f"row.`{name}`").alias(name) for name in names])
