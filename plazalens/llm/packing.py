@@ -26,6 +26,8 @@ LENGTH = 2048
 OPEN = 32
 END = 1
 _FAN_IN = 64
+_SLICE = 512
+"""Documents whose texts are held as Python strings at once."""
 
 _PIECE = pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64())])
 SEQUENCES = (
@@ -118,10 +120,11 @@ def _packed(stretches: Iterator[tuple], round_: int, length: int, open_windows:
 def _pack(end: int, length: int, open_windows: int):
     def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            docs = batch.column(0).to_pylist()
-            for doc, ids in zip(docs, encoder().encode(batch.column(1).to_pylist())):
-                ids = np.append(ids, np.uint32(end))
-                yield doc, 0, ids, len(ids)
+            for at in range(0, batch.num_rows, _SLICE):
+                docs, texts = (column.to_pylist() for column in batch.slice(at, _SLICE).columns)
+                for doc, ids in zip(docs, encoder().encode(texts)):
+                    ids = np.append(ids, np.uint32(end))
+                    yield doc, 0, ids, len(ids)
 
     return lambda batches: _packed(stretches(batches), 0, length, open_windows)
 

@@ -10,6 +10,7 @@ answers. Any other text goes to the library as a whole. The ids are those of
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -21,8 +22,8 @@ from .shingles import segment_hashes
 
 VOCABULARY = "byte_bpe_50k.json"
 _CHUNK = 1 << 20
-_MEMORY = 1_000_000
-"""Pieces a worker remembers; it starts anew beyond that."""
+_MEMORY = 500_000
+"""Pieces a worker remembers, some 40 bytes each; it starts anew beyond that."""
 
 # --- fixed values: the endings that the splitting pattern keeps together ----
 _ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -86,6 +87,19 @@ def piece_starts(chars: np.ndarray, first: np.ndarray) -> np.ndarray:
     return starts
 
 
+_SAFE = re.compile(r"(?<=\w) (?=\w)")
+
+
+def parts_of(text: str) -> Iterator[str]:
+    """A very long text in parts of about a chunk. They are cut before a single space between two
+    word characters, where a piece starts in any text, so their ids are those of the whole."""
+    at = 0
+    while len(text) - at > _CHUNK and (cut := _SAFE.search(text, at + _CHUNK)):
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:]
+
+
 class Encoder:
     """Ids of texts, with a memory of pieces."""
 
@@ -97,34 +111,41 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self._slots: dict[int, int] = {}
-        self._ids = np.empty(1 << 16, np.uint32)
-        self._bounds = np.zeros(1 << 14, np.int64)
-
-    def _learn(self, hashes: list[int], pieces: list[str]) -> None:
-        n, at = len(self._slots), int(self._bounds[len(self._slots)])
-        for code, piece in zip(hashes, pieces):
+        # Sorted hashes of the pieces, and where the ids of each start and how many they are.
+        self._codes = np.empty(0, np.uint64)
+        self._starts = np.empty(0, np.int64)
+        self._counts = np.empty(0, np.int32)
+        self._ids, self._used = np.empty(1 << 16, np.uint32), 0
+
+    def _learn(self, codes: np.ndarray, pieces: Iterator[str]) -> None:
+        """Remember the ids of pieces, by sorted hashes that are new."""
+        starts, counts = np.empty(len(codes), np.int64), np.empty(len(codes), np.int32)
+        for row, piece in enumerate(pieces):
             spelled = piece.encode().decode("latin-1").translate(self._letters)
             ids = [token.id for token in self._model.tokenize(spelled)]
-            if at + len(ids) > len(self._ids):
-                self._ids = np.concatenate((self._ids, np.empty(len(self._ids) + len(ids), np.uint32)))
-            if n + 2 > len(self._bounds):
-                self._bounds = np.concatenate((self._bounds, np.zeros(len(self._bounds), np.int64)))
-            self._ids[at : at + len(ids)] = ids
-            at += len(ids)
-            self._slots[code] = n
-            n += 1
-            self._bounds[n] = at
+            if self._used + len(ids) > len(self._ids):
+                self._ids = np.concatenate((self._ids, np.empty(len(self._ids) // 2 + len(ids), np.uint32)))
+            self._ids[self._used : self._used + len(ids)] = ids
+            starts[row], counts[row] = self._used, len(ids)
+            self._used += len(ids)
+        at = np.searchsorted(self._codes, codes)
+        self._codes = np.insert(self._codes, at, codes)
+        self._starts = np.insert(self._starts, at, starts)
+        self._counts = np.insert(self._counts, at, counts)
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The ids of each text, in order; none for NULL."""
         chunk, held = [], 0
         for text in texts:
-            chunk.append(text or "")
-            held += len(chunk[-1])
-            if held >= _CHUNK:
+            text = text or ""
+            if chunk and held + len(text) > _CHUNK:
                 yield from self._encode(chunk)
                 chunk, held = [], 0
+            if len(text) > _CHUNK:
+                yield np.concatenate([self._encode([part])[0] for part in parts_of(text)])
+                continue
+            chunk.append(text)
+            held += len(text)
         if chunk:
             yield from self._encode(chunk)
 
@@ -155,18 +176,23 @@ class Encoder:
         with np.errstate(over="ignore"):
             hashes = segment_hashes(chars, starts, ends)
         different, first, numbers = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self._slots) + len(different) > _MEMORY:
+        if len(self._codes) + len(different) > _MEMORY:
             self._forget()
-        codes = different.tolist()
-        new = [i for i, code in enumerate(codes) if code not in self._slots]
-        at = first[new].tolist()
-        self._learn([codes[i] for i in new], [joined[starts[i] : ends[i]] for i in at])
-        slots = np.fromiter((self._slots[code] for code in codes), np.int64, len(codes))[numbers]
-        begin, counts = self._bounds[slots], self._bounds[slots + 1] - self._bounds[slots]
-        offsets = np.cumsum(counts) - counts
-        places = np.arange(counts.sum()) + np.repeat(begin - offsets, counts)
+        new = np.flatnonzero(~self._known(different)[1])
+        self._learn(different[new], (joined[starts[i] : ends[i]] for i in first[new].tolist()))
+        slots = self._known(different)[0][numbers]
+        begin, counts = self._starts[slots], self._counts[slots]
+        offsets = np.cumsum(counts, dtype=np.int64) - counts
+        places = np.arange(int(counts.sum(dtype=np.int64))) + np.repeat(begin - offsets, counts)
         return self._ids[places], counts
 
+    def _known(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The slots of hashes, and whether they are remembered."""
+        if not len(self._codes):
+            return np.zeros(len(codes), np.int64), np.zeros(len(codes), bool)
+        slots = np.minimum(np.searchsorted(self._codes, codes), len(self._codes) - 1)
+        return slots, self._codes[slots] == codes
+
 
 _encoder: Encoder | None = None
 

@@ -37,7 +37,14 @@ def test_the_memory_of_pieces_is_bounded(library, monkeypatch):
     encoder, rng = Encoder(), random.Random(2)
     texts = [" ".join(f"w{rng.randrange(500)}" for _ in range(20)) for _ in range(100)]
     assert [ids.tolist() for ids in encoder.encode(texts)] == [library(text) for text in texts]
-    assert len(encoder._slots) <= 150
+    assert len(encoder._codes) <= 150
+
+
+def test_long_texts_are_encoded_in_parts(library, monkeypatch):
+    monkeypatch.setattr("plazalens.llm.tokens._CHUNK", 40)
+    rng = random.Random(3)
+    texts = ["".join(rng.choices(PARTS + [" a", " b1"] * 9, k=400)) for _ in range(60)] + ["x" * 500, " " * 200]
+    assert [ids.tolist() for ids in Encoder().encode(texts)] == [library(text) for text in texts]
 
 
 ROWS = [
