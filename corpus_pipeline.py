@@ -12,7 +12,6 @@ and the tests hold the stages against brute force.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from plazalens.llm import exact_dedup, langid, mixing, near_dedup, packing
 from plazalens.llm.common import kept, ship, table
@@ -39,10 +38,10 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: documents as often as the mix of the sources takes them. A document at a
-    source's threshold comes with its first words only, and their number of characters."""
+    """Operator 5: documents as often as the mix of the sources takes them. The document at a
+    source's threshold comes whole or not at all."""
     ship(spark)
-    return mixing.apply_mix(docs).withColumn("n_chars", F.length("text").cast("long"))
+    return mixing.apply_mix(docs)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
