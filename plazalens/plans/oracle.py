@@ -6,6 +6,8 @@ side uses one regex or one pass.
 
 from __future__ import annotations
 
+import math
+
 from ..functions.fixed_values import (
     HISTOGRAM_BINS,
     NEGATIVE,
@@ -195,6 +197,20 @@ _CLOSENESS = """SELECT landmark, CASE WHEN count(*) > 1 AND sum(distance) > 0
     THEN (count(*) - 1) / sum(distance)::DOUBLE ELSE 0.0 END AS closeness
 FROM distances GROUP BY landmark"""
 
+_PIVOTS, _SPREAD = 12, math.log(4 / (1 - 0.95)) / 2
+_SAMPLED = f"""pivots AS (SELECT id FROM landmarks ORDER BY md5(id), id LIMIT {_PIVOTS}), n AS (
+  SELECT count(*) - 1 AS others, (SELECT max(distance) FROM distances) AS longest FROM landmarks), s AS (
+  SELECT l.id AS landmark, least({_PIVOTS}, others + 1) - (l.id IN (SELECT id FROM pivots))::INTEGER AS pivots,
+    count(d.id) AS reaching, coalesce(sum(d.distance), 0)::DOUBLE AS total, others, longest
+  FROM landmarks l CROSS JOIN n LEFT JOIN distances d ON d.landmark = l.id AND d.distance > 0
+    AND d.id IN (SELECT id FROM pivots) GROUP BY l.id, others, longest), e AS (
+  SELECT *, reaching / pivots AS share, total / pivots AS mean,
+    CASE WHEN pivots >= others THEN 0.0 ELSE sqrt({_SPREAD!r} / pivots * (1 - (pivots - 1) / others::DOUBLE)) END AS error FROM s)
+SELECT landmark, round(CASE WHEN total > 0 THEN share / mean ELSE 0.0 END, 9) AS closeness,
+  round(CASE WHEN share > error THEN (share - error) / (mean + error * longest) ELSE 0.0 END, 9) AS low,
+  round(CASE WHEN mean - error * longest > 0 THEN least(1.0, (share + error) / (mean - error * longest))
+    WHEN share + error > 0 THEN 1.0 ELSE 0.0 END, 9) AS high, pivots::BIGINT AS pivots, reaching, true AS holds FROM e"""
+
 ORACLE: dict[str, str] = {
     "dedup_rows": "SELECT DISTINCT user_id, event_type, props FROM events",
     "dedup_keys": """SELECT event_id, user_id, event_type, props FROM events
@@ -302,5 +318,9 @@ FROM degrees ORDER BY degree DESC, id LIMIT {TOP_VERTICES}""",
     "hop_distances_undirected": f"""WITH RECURSIVE
 {_distances(_SUPPLY_LINKS, _TOP_IDS, directed=False)} {_SELECT_DISTANCES}""",
     "closeness": f"WITH RECURSIVE {_distances(_EVENT_LINKS, _TOP_IDS)} {_CLOSENESS}",
+    "closeness_sketch": f"""WITH RECURSIVE {_distances(_POST_LINKS, _ALL_IDS)}
+SELECT *, true AS within FROM ({_CLOSENESS}) JOIN (
+  SELECT landmark, max(distance) AS rounds FROM distances GROUP BY landmark) USING (landmark)""",
+    "closeness_sample": f"WITH RECURSIVE {_distances(_POST_LINKS, _ALL_IDS)}, {_SAMPLED}",
     "closeness_all": f"WITH RECURSIVE {_distances(_POST_LINKS, _ALL_IDS)} {_CLOSENESS}",
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import graph, profile, sentiment, topics, words
+from ..operators import centrality, graph, profile, sentiment, topics, words
 from ..sources.checkpoints import use_checkpoint_dir
 from ..sources.posts import (
     CORRUPT,
@@ -361,3 +361,29 @@ def closeness_all(spark, sf_dir):
     posts = tables.posts(spark, sf_dir)
     links = graph.edges(posts, FIELDS)
     return graph.closeness_of(links, graph.vertices(posts, FIELDS))
+
+
+@_query
+def closeness_sketch(spark, sf_dir):
+    """The sketched closeness of all vertices held against the exact one."""
+    posts = tables.posts(spark, sf_dir)
+    links, everyone = graph.edges(posts, FIELDS), graph.vertices(posts, FIELDS)
+    sketched = centrality.closeness_sketched(links, everyone)
+    exact = graph.closeness_of(links, everyone).withColumnRenamed("closeness", "exact")
+    within = F.col("exact").between(F.col("low") - 1e-12, F.col("high") + 1e-12)
+    return exact.join(sketched, "landmark").select(
+        "landmark", F.col("exact").alias("closeness"), "rounds", within.alias("within")
+    )
+
+
+@_query
+def closeness_sample(spark, sf_dir):
+    """Intervals of all vertices' closeness from twelve pivots, and whether they hold the exact one."""
+    posts = tables.posts(spark, sf_dir)
+    links, everyone = graph.edges(posts, FIELDS), graph.vertices(posts, FIELDS)
+    longest = centrality.closeness_sketched(links, everyone).agg(F.max("rounds")).first()[0]
+    sampled = centrality.closeness_sampled(links, everyone, pivots=12, longest=longest)
+    exact = graph.closeness_of(links, everyone).withColumnRenamed("closeness", "exact")
+    holds = F.col("exact").between(F.col("low") - 1e-12, F.col("high") + 1e-12)
+    rounded = [F.round(name, 9).alias(name) for name in ("closeness", "low", "high")]
+    return sampled.join(exact, "landmark").select("landmark", *rounded, "pivots", "reaching", holds.alias("holds"))
