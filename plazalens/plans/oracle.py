@@ -189,7 +189,8 @@ def _distances(links: str, landmarks: str, directed: bool = True) -> str:
   UNION
   SELECT landmark, src, distance + 1 FROM walks JOIN pairs ON dst = id
   WHERE distance < {_WALK}), distances AS (
-  SELECT landmark, id, min(distance)::INTEGER AS distance FROM walks GROUP BY landmark, id)"""
+  SELECT landmark, id, CASE WHEN min(distance) < {_WALK} THEN min(distance)::INTEGER
+    ELSE error('a path is as long as the walks') END AS distance FROM walks GROUP BY landmark, id)"""
 
 
 _SELECT_DISTANCES = "SELECT landmark, id, distance FROM distances"
@@ -197,6 +198,23 @@ _CLOSENESS = """SELECT landmark, CASE WHEN count(*) > 1 AND sum(distance) > 0
     THEN (count(*) - 1) / sum(distance)::DOUBLE ELSE 0.0 END AS closeness
 FROM distances GROUP BY landmark"""
 
+_PATHS = " UNION ALL ".join(
+    f"SELECT '{path}', '{kind}', {count} FROM posts"
+    for path, kind, count in (
+        ("$", "OBJECT", "count(*)"), ("id", "NUMBER", "count(id)"), ("text", "STRING", "count(text)"),
+        ("retweet_count", "NUMBER", "count(retweet_count)"), ("user", "OBJECT", "count(*)"),
+        ("user.name", "STRING", "count(author)"), ("user.time_zone", "STRING", "count(zone)"),
+        ("in_reply_to_screen_name", "STRING", "count(reply_to)"), ("entities", "OBJECT", "count(*)"),
+        ("entities.hashtags", "ARRAY", "count(tags)"), ("entities.hashtags[]", "OBJECT", "sum(len(tags))"),
+        ("entities.hashtags[].text", "STRING", "sum(len(tags))"), ("retweeted_status", "OBJECT", "count(rt_author)"),
+        ("retweeted_status.user", "OBJECT", "count(rt_author)"), ("retweeted_status.user.name", "STRING", "count(rt_author)"),
+        ("retweeted_status.in_reply_to_screen_name", "STRING", "count(src_reply_to)"),
+        ("retweeted_status.entities", "OBJECT", "count(rt_author)"),
+        ("retweeted_status.entities.hashtags", "ARRAY", "count(src_tags)"),
+        ("retweeted_status.entities.hashtags[]", "OBJECT", "sum(len(src_tags))"),
+        ("retweeted_status.entities.hashtags[].text", "STRING", "sum(len(src_tags))"),
+    )
+)
 _PIVOTS, _SPREAD = 12, math.log(4 / (1 - 0.95)) / 2
 _SAMPLED = f"""pivots AS (SELECT id FROM landmarks ORDER BY md5(id), id LIMIT {_PIVOTS}), n AS (
   SELECT count(*) - 1 AS others, (SELECT max(distance) FROM distances) AS longest FROM landmarks), s AS (
@@ -234,6 +252,10 @@ FROM (FROM posts UNION ALL FROM posts)""",
   count(zone) AS zone, count(tags) AS tags, count(rt_author) AS rt_author,
   count(reply_to) AS reply_to, count(src_tags) AS src_tags, count(src_reply_to) AS src_reply_to
 FROM posts""",
+    "inferred_schema": """SELECT count(*) AS lines, count(*) FILTER (doc_id % 7 = 0) AS malformed,
+  'OBJECT<id: BIGINT, text: STRING>' AS schema FROM documents""",
+    "path_profile": f"""WITH {_POSTS}, counted(path, type, "values") AS ({_PATHS})
+SELECT path, type, "values"::BIGINT AS "values" FROM counted WHERE "values" > 0""",
     "kind_breakdown": f"WITH {_POSTS} SELECT {_KINDS} FROM posts",
     "kind_breakdown_by_zone": f"WITH {_POSTS} SELECT zone, {_KINDS} FROM posts GROUP BY zone",
     "mean_text_length": """SELECT count(*) AS rows, sum(length(text))::BIGINT AS characters,

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import centrality, graph, profile, sentiment, topics, words
-from ..sources.checkpoints import use_checkpoint_dir
+from ..operators.ranking import with_global_place
+from ..sources.inference import line_schema, path_profile as profile_paths
 from ..sources.posts import (
     CORRUPT,
     POST_FIELDS,
@@ -83,6 +84,16 @@ def null_profile(spark, sf_dir):
     return profile.null_profile(tables.posts(spark, sf_dir), paths)
 
 
+@_query
+def inferred_schema(spark, sf_dir):
+    return line_schema(tables.lines(spark, sf_dir), "line")
+
+
+@_query
+def path_profile(spark, sf_dir):
+    return profile_paths(tables.post_lines(spark, sf_dir), "line")
+
+
 @_query
 def kind_breakdown(spark, sf_dir):
     return profile.kind_breakdown(tables.posts(spark, sf_dir), FIELDS)
@@ -110,19 +121,9 @@ def text_length_histogram(spark, sf_dir):
 
 @_query
 def created_at_order(spark, sf_dir):
-    use_checkpoint_dir(spark)
-    stamped = profile.with_timestamp(tables.created(spark, sf_dir)).orderBy("timestamp", "event_id")
-    # A row's place in the order: its place in its part, after the rows of the parts before.
-    row = F.monotonically_increasing_id()
-    part, inside = F.shiftright(row, 33).alias("part"), row.bitwiseAND((1 << 33) - 1)
-    rows = stamped.select("*", part, inside.alias("inside")).checkpoint()
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per part
-    parts = rows.groupBy("part").agg(F.count("*").alias("n"))
-    parts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    place = F.col("before") + F.col("inside") + 1
-    return rows.join(parts, "part").select(
-        "event_id", "created_at", _epoch("timestamp").alias("epoch"), place.alias("place")
-    )
+    stamped = profile.with_timestamp(tables.created(spark, sf_dir))
+    placed = with_global_place(stamped, [F.asc("timestamp"), F.asc("event_id")])
+    return placed.select("event_id", "created_at", _epoch("timestamp").alias("epoch"), "place")
 
 
 @_query

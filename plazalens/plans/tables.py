@@ -70,8 +70,8 @@ def posts(spark: SparkSession, sf_dir: str, tags_once: bool = False) -> DataFram
     return flat.select("*", "both.*").drop("both") if tags_once else flat
 
 
-def nested_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same posts as JSON lines, read with the declared schema."""
+def post_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same posts as JSON lines."""
 
     def entities(tags: str):
         tag = F.transform(tags, lambda text: F.struct(text.alias("text")))
@@ -94,7 +94,12 @@ def nested_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("reply_to").alias("in_reply_to_screen_name"),
         F.when(F.col("rt_author").isNotNull(), original).alias("retweeted_status"),
     )
-    lines = posts(spark, sf_dir, tags_once=True).select(F.to_json(line).alias("line"))
+    return posts(spark, sf_dir, tags_once=True).select(F.to_json(line).alias("line"))
+
+
+def nested_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON lines, read with the declared schema."""
+    lines = post_lines(spark, sf_dir)
     return lines.select(once(F.from_json("line", POST_SCHEMA)).alias("post")).select("post.*")
 
 

@@ -1,5 +1,6 @@
 """Reading posts."""
 
+from .inference import infer_schema, line_schema, path_profile, undeclared_fields
 from .posts import (
     FLAT_FIELDS,
     POST_FIELDS,
@@ -23,7 +24,11 @@ __all__ = [
     "deduplicate",
     "distinct_flat",
     "flatten",
+    "infer_schema",
+    "line_schema",
     "parse_posts",
+    "path_profile",
     "read_posts",
     "row_digest",
+    "undeclared_fields",
 ]

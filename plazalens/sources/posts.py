@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.once import once
+from .inference import infer_schema
 
 # --- fixed values: the fields of a post -------------------------------------
 
@@ -92,23 +93,22 @@ def read_posts(
     corrupt: Literal["keep", "fail"] = "keep",
 ) -> DataFrame:
     """JSON-lines posts. A declared schema saves the pass that infers one; ``schema=None``
-    infers it. Pass a shorter schema to parse fewer fields. Empty lines are skipped.
+    infers it with `infer_schema`. Pass a shorter schema to parse fewer fields. Empty lines are
+    skipped.
 
-    With a declared schema, two more columns keep lines apart that its fields do not: a line
-    that cannot be parsed stays a row of its own with its text in ``_corrupt_record``, and
-    ``_line_digest`` is that of the whole line, its keys sorted, so posts that differ only in a
-    field outside the schema stay different. ``corrupt="fail"`` fails on a broken line.
+    Two more columns keep lines apart that the fields do not: a line that cannot be parsed stays a
+    row of its own with its text in ``_corrupt_record``, and ``_line_digest`` is that of the whole
+    line, its keys sorted, so posts that differ only in a field outside the schema stay
+    different. ``corrupt="fail"`` fails on a broken line.
     """
-    if schema is None:
-        mode = "FAILFAST" if corrupt == "fail" else "PERMISSIVE"
-        return spark.read.option("mode", mode).json(path)
-    return parse_posts(spark.read.text(path), "value", schema, corrupt)
+    lines = spark.read.text(path)
+    return parse_posts(lines, "value", infer_schema(lines) if schema is None else schema, corrupt)
 
 
 def parse_posts(
     lines: DataFrame,
     column: str = "value",
-    schema: str = POST_SCHEMA,
+    schema: str | T.StructType = POST_SCHEMA,
     corrupt: Literal["keep", "fail"] = "keep",
 ) -> DataFrame:
     """Posts from a column of JSON lines, as `read_posts` gives them."""
@@ -116,7 +116,8 @@ def parse_posts(
     options = {"mode": "FAILFAST" if corrupt == "fail" else "PERMISSIVE"}
     if corrupt == "keep":
         options["columnNameOfCorruptRecord"] = CORRUPT
-        schema = f"{schema}, {CORRUPT} STRING"
+        broken = T.StructField(CORRUPT, T.StringType())
+        schema = f"{schema}, {CORRUPT} STRING" if isinstance(schema, str) else T.StructType([*schema, broken])
     whole = F.coalesce(F.to_json(F.try_parse_json(line)), line)
     parsed = lines.filter(F.trim(line) != "").select(
         once(F.from_json(line, schema, options)).alias("post"),
