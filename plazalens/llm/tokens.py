@@ -22,7 +22,7 @@ from .shingles import segment_hashes
 
 VOCABULARY = "byte_bpe_50k.json"
 _CHUNK = 1 << 20
-_MEMORY = 500_000
+_MEMORY = 1_000_000
 """Pieces a worker remembers, some 40 bytes each; it starts anew beyond that."""
 
 # --- fixed values: the endings that the splitting pattern keeps together ----
