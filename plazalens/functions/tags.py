@@ -25,6 +25,11 @@ def searchable(tags: Column) -> Column:
     return F.lower(joined(tags))
 
 
+def distinct_lower(tags: Column) -> Column:
+    """The different tags in lower case, sorted, without NULLs; NULL for NULL."""
+    return F.array_sort(F.array_distinct(F.transform(F.array_compact(tags), F.lower)))
+
+
 def _needles(needles: Iterable[str]) -> list[str]:
     """The needles in lower case, without those that contain another one: they can match
     nothing new. An empty needle, which every text contains, is refused."""

@@ -6,13 +6,14 @@ from collections import defaultdict
 from collections.abc import Iterable, Mapping
 from decimal import ROUND_HALF_UP, Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.fixed_values import NEGATIVE, NEUTRAL, POSITIVE
 from ..functions.once import once
 from ..functions.text import token_gap, tokens
+from ..sources.checkpoints import written
 from ..sources.posts import POST_FIELDS, PostFields
 from .profile import is_reshare
 
@@ -20,7 +21,7 @@ Lexicon = Mapping[str, float] | Iterable[tuple[str, float]] | DataFrame
 Labels = tuple[str, str, str]
 LABELS: Labels = (POSITIVE, NEGATIVE, NEUTRAL)
 
-_SPREAD = 16
+_BIT_SLOTS = 1 << 14
 _EXACT = "DECIMAL(28, 9)"
 
 
@@ -119,32 +120,41 @@ def net_polarity(lexicon: DataFrame) -> DataFrame:
 def _with_joined_sentiment(
     df: DataFrame, lexicon: DataFrame, column: str, out: str, labels: Labels, cleaned: bool
 ) -> DataFrame:
-    """The label by a join, in one pass over the rows.
-
-    A row is taken apart into its words and one more item that holds the whole row under a
-    name that is no word. The items find their polarity by word; those that have none, and no
-    row, are dropped. Scores then meet the rows by the text's SHA-256. A text posted n times
-    scores n times as much, with the same sign. That step is salted by row, so a text posted
-    a third of the time does not end up in one task.
+    """The label by two joins: words meet the lexicon, then scores meet the rows.
+
+    The summed lexicon is written to the shared folder first, so that Spark knows its bytes when
+    it chooses the join. Only a text's SHA-256 goes with its words. Words that the lexicon cannot
+    hold are dropped by a bit table before any shuffle, and scores are combined in each task. A
+    text posted n times scores n times as much, with the same sign. The rows read their text a
+    second time and are shuffled once, by that digest; Spark splits a text that is posted very
+    often, and rows without a text, which need no score, are spread.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in df.columns]), F.lit(_SPREAD))
-    digest = F.coalesce(F.unhex(F.sha2(column, 256)), F.lit(b""))
-    row = F.struct(*[F.col(f"`{name}`") for name in df.columns])
-    whole = F.struct(F.concat(F.lit("\0"), F.hex(digest)).alias("word"), row.alias("row"))
-    no_row = F.lit(None).cast(df.select(row.alias("row")).schema["row"].dataType)
-    words = F.coalesce(tokens(F.col(column), cleaned), F.array().cast("array<string>"))
-    parts = F.transform(words, lambda word: F.struct(word.alias("word"), no_row.alias("row")))
-    items = df.select(
-        digest.alias("digest"), salt.alias("salt"), F.explode(F.concat(F.array(whole), parts)).alias("item")
-    ).select("digest", "salt", "item.word", "item.row")
-    found = items.join(net_polarity(lexicon), "word", "left")
-    found = found.filter("row IS NOT NULL OR polarity IS NOT NULL")
-    score = F.sum("polarity").over(Window.partitionBy("digest", "salt")).alias("score")
-    scored = found.select("row", score).filter("row IS NOT NULL")
-    text = F.col(f"row.`{column}`")
-    label = label_of("score", labels)
-    label = F.when(text.isNotNull(), F.coalesce(label, F.lit(labels[2])))
-    return scored.select("row.*", label.alias(out))
+    digest = F.unhex(F.sha2(column, 256))
+    polarity = written(net_polarity(lexicon), "lexicon")
+    words = df.select(digest.alias("digest"), F.explode(tokens(F.col(column), cleaned)).alias("word"))
+    found = words.filter(_may_be_in(polarity)).join(polarity, "word")
+    scores = found.groupBy(F.col("digest").alias("__digest")).agg(F.sum("polarity").alias("__score"))
+    spread = F.unhex(F.hex(F.xxhash64(*[F.col(f"`{name}`") for name in df.columns])))
+    rows = df.select("*", F.coalesce(digest, spread).alias("__digest"), digest.isNotNull().alias("__has_text"))
+    label = F.coalesce(label_of("__score", labels), F.lit(labels[2]))
+    return rows.join(scores, "__digest", "left").select(
+        *[F.col(f"`{name}`") for name in df.columns if name != out],
+        F.when(F.col("__has_text"), label).alias(out),
+    )
+
+
+def _may_be_in(lexicon: DataFrame) -> Column:
+    """True for each ``word`` of the lexicon and for few others: a table of bits by the word's
+    hash, one row of `_BIT_SLOTS` numbers whatever the size of the lexicon. A lexicon of more
+    than a million words fills it, and fewer words are dropped."""
+    hashed = F.xxhash64("word")
+    slot, bit = F.pmod(hashed, F.lit(_BIT_SLOTS)), F.shiftrightunsigned(hashed, 58).cast("int")
+    ones = lexicon.select(slot.alias("id"), bit.alias("bit")).groupBy("id")
+    ones = ones.agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits"))
+    slots = lexicon.sparkSession.range(_BIT_SLOTS).join(ones, "id", "left")
+    listed = F.array_sort(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0)).alias("bits"))))
+    table = slots.agg(listed.getField("bits").alias("bits")).scalar()
+    return F.getbit(F.element_at(table, (slot + 1).cast("int")), bit) == 1
 
 
 def sentiment_counts(df: DataFrame, sentiment: str = "sentiment") -> DataFrame:

@@ -1,4 +1,5 @@
-"""Topics: posts, or reshared originals, whose tags mention one topic and no other."""
+"""Topics: posts, or reshared originals, whose tags mention one topic and no other. Needles are
+searched within tags, or compared with whole tags."""
 
 from __future__ import annotations
 
@@ -8,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import TOPIC_NEEDLES
-from ..functions.tags import on_one_topic, searchable, topic_of
+from ..functions.tags import distinct_lower, on_one_topic, searchable, topic_of
 from ..sources.posts import POST_FIELDS, PostFields
 from .profile import kind_aggregates
 
@@ -40,6 +41,44 @@ def topic_posts(
     return posts.filter(on_one_topic(searchable(F.col(tags)), topics, among=[topic]))
 
 
+def with_exact_topic(
+    posts: DataFrame, topics: Topics | DataFrame = TOPIC_NEEDLES, tags: str = POST_FIELDS.tags
+) -> DataFrame:
+    """Add ``topic`` like `with_topic`, but a tag counts only if it equals a needle as a whole,
+    in any letter case: ``nobama`` is not on the topic of ``obama``. NULL for posts whose tags
+    are on no topic or on several; a needle of two topics is on both.
+
+    Topics are a mapping or a table ``topic, needle`` of any size. Different sets of tags, not
+    posts, are taken apart and meet the needles; a set is on one topic if the least and the
+    greatest topic of its tags are the same, so no list of topics is ever held. The posts then
+    find their set by its SHA-256. Posts without tags are left out of both joins' work.
+    """
+    needles = _needle_table(posts, topics)
+    tag_set = distinct_lower(F.col(tags))
+    digest = F.when(F.size(tag_set) > 0, F.unhex(F.sha2(F.to_json(tag_set), 256)))
+    sets = posts.select(digest.alias("__set"), tag_set.alias("tags")).filter("__set IS NOT NULL")
+    tagged = sets.dropDuplicates(["__set"]).select("__set", F.explode("tags").alias("needle"))
+    least, greatest = F.min("topic"), F.max("topic")
+    one = F.when(least == greatest, least).alias("topic")
+    found = tagged.join(needles, "needle").groupBy("__set").agg(one).filter("topic IS NOT NULL")
+    others = [F.col(f"`{name}`") for name in posts.columns if name != "topic"]
+    return posts.select(*others, digest.alias("__set")).join(found, "__set", "left").drop("__set")
+
+
+def on_exact_topic(
+    posts: DataFrame, topics: Topics | DataFrame = TOPIC_NEEDLES, tags: str = POST_FIELDS.tags
+) -> DataFrame:
+    """The posts of exactly one topic by whole tags, with ``topic``."""
+    return with_exact_topic(posts, topics, tags).filter("topic IS NOT NULL")
+
+
+def _needle_table(posts: DataFrame, topics: Topics | DataFrame) -> DataFrame:
+    if not isinstance(topics, DataFrame):
+        rows = [(topic, needle) for topic, needles in topics.items() for needle in needles]
+        topics = posts.sparkSession.createDataFrame(rows, "topic string, needle string")
+    return topics.select("topic", F.lower("needle").alias("needle")).dropna().distinct()
+
+
 def source_topic_sum(
     posts: DataFrame, topics: Topics = TOPIC_NEEDLES, fields: PostFields = POST_FIELDS
 ) -> DataFrame:

@@ -284,6 +284,14 @@ FROM posts WHERE zone LIKE '{tables.ZONE_PATTERN}'""",
     "topic_posts": f"WITH {_TOPICS} SELECT id, topic FROM topical WHERE topic IS NOT NULL",
     "one_topic_posts": f"""WITH {_TOPICS}
 SELECT id, author, rt_author FROM topical WHERE topic = 'a'""",
+    "exact_topic_posts": f"""WITH {_POSTS}, needles AS (
+  SELECT DISTINCT role AS topic,
+    unnest(regexp_extract_all(lower(text), '[a-z]{{9,}}')) AS needle FROM conversations),
+on_topics AS (
+  SELECT id, count(DISTINCT needles.topic) AS n, any_value(needles.topic) AS topic
+  FROM (SELECT id, unnest(tags) AS needle FROM posts) JOIN needles USING (needle) GROUP BY id)
+SELECT posts.id, CASE WHEN n = 1 THEN on_topics.topic END AS topic
+FROM posts LEFT JOIN on_topics USING (id)""",
     "source_topic_sum": f"""WITH {_TOPICS} SELECT src_topic AS topic, count(*) AS posts,
   sum(retweet_count)::BIGINT AS reshare_count
 FROM topical WHERE src_topic IS NOT NULL GROUP BY src_topic""",

@@ -158,6 +158,12 @@ def one_topic_posts(spark, sf_dir):
     return posts.select("id", "author", "rt_author")
 
 
+@_query
+def exact_topic_posts(spark, sf_dir):
+    needles = tables.topic_needles(spark, sf_dir)
+    return topics.with_exact_topic(tables.posts(spark, sf_dir), needles, "tags").select("id", "topic")
+
+
 @_query
 def source_topic_sum(spark, sf_dir):
     return topics.source_topic_sum(tables.posts(spark, sf_dir), TOPICS, FIELDS)

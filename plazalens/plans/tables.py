@@ -147,3 +147,10 @@ def benchmark_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stop word table: the words of ``benchmark``."""
     word = F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("word")
     return table(spark, sf_dir, "benchmark").select(word).distinct()
+
+
+def topic_needles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topic table from ``conversations``: its long words, which are on the topics of all the
+    roles that use them."""
+    word = F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{9,}"), 0)).alias("needle")
+    return table(spark, sf_dir, "conversations").select(F.col("role").alias("topic"), word)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,3 +48,13 @@ def forget_checkpoint(df: DataFrame) -> None:
     if file.isDefined():
         path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file.get())
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The table as Parquet in the shared folder, read again: worked out once, and Spark knows
+    its bytes."""
+    spark = df.sparkSession
+    use_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

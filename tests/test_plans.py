@@ -140,6 +140,19 @@ def test_large_rankings_are_made_in_slices(spark):
     assert text.count("Exchange") == 2 and "xxhash64" in text
 
 
-def test_a_lexicon_table_is_joined_in_one_pass(spark):
-    text = plan(QUERIES["sentiment_table_lexicon"](spark, SF_DIR))
-    assert text.count("FileScan parquet") == 2  # the documents and the lexicon
+def test_rows_stay_out_of_the_join_of_words_and_lexicon(spark):
+    posts = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "source", "text")
+    lexicon = spark.createDataFrame([("the", 1)], "word string, polarity int")
+    text = plan(sentiment.with_sentiment(posts, lexicon, "text"))
+    scans = [line for line in text.splitlines() if "ReadSchema" in line]
+    read = [line.split("ReadSchema: ")[1] for line in scans]
+    assert "struct<text:string>" in read  # what the words come from
+    assert sum("source:string" in columns for columns in read) == 1
+    assert "getbit" in text and "partial_sum(polarity" in text
+
+
+def test_exact_topics_shuffle_tag_sets_and_needles_but_no_text(spark):
+    text = plan(QUERIES["exact_topic_posts"](spark, SF_DIR))
+    for line in text.splitlines():
+        if "Exchange hashpartitioning" in line:
+            assert "text" not in line

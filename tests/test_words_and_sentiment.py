@@ -122,6 +122,24 @@ def test_a_list_and_a_table_give_the_same_labels(spark, texts, kind):
         assert got == by_hand
 
 
+def test_a_lexicon_table_that_no_word_is_in_and_texts_posted_often(spark):
+    rows = [(i, "good day" if i % 3 else None) for i in range(300)] + [(300, ""), (300, "bad"), (300, "bad")]
+    df = spark.createDataFrame(rows, "id int, text string")
+    table = spark.createDataFrame([("good", 1), ("bad", -1), (None, 1), ("", 1)], "word string, polarity int")
+    got = [tuple(row) for row in sentiment.with_sentiment(df, table, "text").collect()]
+    labels = {None: None, "good day": "positivo", "": "neutro", "bad": "negativo"}
+    assert sorted(got, key=repr) == sorted(((i, text, labels[text]) for i, text in rows), key=repr)
+    none = sentiment.with_sentiment(df, table.limit(0), "text").select("sentiment").distinct().collect()
+    assert {row.sentiment for row in none} == {None, "neutro"}
+
+
+def test_a_lexicon_of_many_words_is_not_thinned_by_the_bit_table(spark):
+    words_of = spark.range(200_000).select(F.concat(F.lit("w"), "id").alias("word"), F.lit(1).alias("polarity"))
+    df = words_of.select(F.col("word").alias("text")).union(spark.range(1000).select(F.concat(F.lit("x"), "id")))
+    counts = sentiment.sentiment_counts(sentiment.with_sentiment(df, words_of, "text"))
+    assert {row.sentiment: row["count"] for row in counts.collect()} == {"positivo": 200_000, "neutro": 1000}
+
+
 def test_read_lexicon(spark, tmp_path):
     (tmp_path / "pos.txt").write_text("good\n a+ \n\nboth\n")
     (tmp_path / "neg.txt").write_text("bad\nboth")
