@@ -5,7 +5,9 @@ owns some ranges. It reads the texts of a range in key order; texts with the sam
 chain and are told apart byte by byte. The entries of a range go into buckets found through a
 directory of the next bits of the key. A bucket that overflows is split in two by one more bit,
 and the directory doubles when the bucket already used all its bits. The buckets are written as
-a Parquet table; a text is looked up by key and digest.
+a Parquet table in the shared folder. A text is looked up by its key alone: the key's first bits
+give the range, its next bits the slot of the range's directory, the slot the bucket, and the
+chain of the key in that bucket is searched for the text's digest.
 """
 
 from __future__ import annotations
@@ -37,7 +39,8 @@ def normalised(text: Column) -> Column:
 
 class Directory:
     """The directory of one key range: a slot for every value of the ``depth`` bits that follow
-    the range's own bits, pointing to a bucket. Buckets are dicts from key to chain."""
+    the range's own bits, pointing to a bucket. Buckets are dicts from key to chain. Written, a
+    directory is the depths of its buckets, empty ones too, in slot order."""
 
     def __init__(self, range_bits: int, capacity: int = BUCKET):
         self.range_bits, self.capacity = range_bits, capacity
@@ -113,12 +116,17 @@ def _own(range_bits: int, capacity: int):
     )
 
     def written(owner: int, directory: Directory) -> pa.RecordBatch:
-        rows = [
+        rows: list[tuple] = [
             (owner, number, depth, key - (1 << 64) if key >> 63 else key, link, digest, keep, copies)
             for number, depth, bucket in directory.buckets()
             for key, chain in bucket.items()
             for link, (digest, keep, copies) in enumerate(chain)
         ]
+        rows += [
+            (owner, number, depth, None, None, None, None, None)
+            for number, depth, bucket in directory.buckets()
+            if not bucket
+        ]
         columns = list(zip(*rows)) if rows else [[]] * len(names)
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
@@ -154,13 +162,19 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return body.select("*", F.xxhash64("body").alias("key"), F.unhex(F.sha2("body", 256)).alias("digest"))
 
 
+def range_bits(docs: DataFrame) -> int:
+    """First bits of a key that tell its range: some eight ranges for each task, and more where
+    they would hold over `RANGE_ROWS` rows on average."""
+    return max(1, math.ceil(math.log2(max(8 * parts(docs), docs.count() / RANGE_ROWS, 2))))
+
+
 def build_index(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = BUCKET
+    docs: DataFrame, bits: int, id_col: str = "doc_id", text_col: str = "text", capacity: int = BUCKET
 ) -> DataFrame:
     """The index table: a row for each different text, with its bucket, the smallest id of its
-    copies and their number. It is written to the shared folder once, in bucket order."""
-    n, rows = parts(docs), docs.count()
-    bits = max(1, math.ceil(math.log2(max(8 * n, rows / RANGE_ROWS, 2))))
+    copies and their number, and a row without a key for each empty bucket. It is written to the
+    shared folder once, in bucket order."""
+    n = parts(docs)
     rows = keyed(docs, id_col, text_col).select(
         F.shiftrightunsigned("key", 64 - bits).alias("owner"),
         "key", F.encode("body", "UTF-8").alias("text"), "digest", "doc_id",
@@ -170,6 +184,42 @@ def build_index(
     return kept(owned.mapInArrow(_own(bits, capacity), INDEX), "dedup-index")
 
 
+def directories(index: DataFrame) -> DataFrame:
+    """``owner``, ``slots`` of each key range: the depth of the bucket that each slot points to.
+
+    A bucket of depth d has as many neighbouring slots as the deepest bucket has bits more than
+    d. There are at most 2 ** `DEPTH` slots in a range, one byte each.
+    """
+    buckets = index.select("owner", "bucket", "depth").distinct()
+    start = F.expr(f"shiftleft(bucket, {DEPTH} - depth)").alias("start")
+    in_order = F.array_sort(F.collect_list(F.struct(start, "depth")))
+    ranges = buckets.groupBy("owner").agg(in_order.alias("buckets"), F.max("depth").alias("deepest"))
+    slots = "flatten(transform(buckets, b -> array_repeat(CAST(b.depth AS TINYINT), 1 << (deepest - b.depth))))"
+    return ranges.select("owner", "deepest", F.expr(slots).alias("slots"))
+
+
+def located(rows: DataFrame, index: DataFrame, bits: int) -> DataFrame:
+    """Rows that have a ``key``, with ``owner``, ``bucket`` and ``depth``, as the written
+    directories say."""
+    owner = F.shiftrightunsigned("key", 64 - bits).alias("owner")
+    tail = F.shiftleft("key", bits).alias("tail")
+    found = rows.select("*", owner, tail).join(directories(index), "owner")
+    # A shift by 64 bits would be one by none.
+    slot = F.expr("CASE WHEN deepest = 0 THEN 0 ELSE shiftrightunsigned(tail, 64 - deepest) END")
+    depth = F.element_at("slots", (slot + 1).cast("int")).cast("int").alias("depth")
+    found = found.select(*rows.columns, "owner", "tail", depth)
+    bucket = F.expr("CASE WHEN depth = 0 THEN 0 ELSE shiftrightunsigned(tail, 64 - depth) END")
+    return found.select(*rows.columns, "owner", bucket.cast("long").alias("bucket"), "depth")
+
+
+def look_up(rows: DataFrame, index: DataFrame, bits: int) -> DataFrame:
+    """Rows that have ``key`` and ``digest``, with ``keep_id`` and ``copies`` of their text: each
+    goes to the bucket that its directory names, and there along the chain of its key."""
+    chains = index.filter("key IS NOT NULL").select("owner", "bucket", "depth", "key", "digest", "keep_id", "copies")
+    found = located(rows, index, bits).join(chains, ["owner", "bucket", "depth", "key", "digest"])
+    return found.select(*rows.columns, "keep_id", "copies")
+
+
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``keep_id`` (smallest id with an equal text),
     ``group_size``, ``kept``, ``text_sha256``.
@@ -178,12 +228,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     the smallest id all stay. Rows without an id count as copies; they stay only where no copy
     has an id. An empty table gives an empty table. Other columns are ignored.
 
-    The look-up joins 48 bytes per document to the index; a text with very many copies is one
-    key of that join, which Spark splits.
+    The look-up joins 48 bytes per document to the directories and then to the buckets; a text
+    with very many copies is one key of those joins, which Spark splits.
     """
-    index = build_index(docs, id_col, text_col).select("key", "digest", "keep_id", "copies")
+    bits = range_bits(docs)
+    index = build_index(docs, bits, id_col, text_col)
     rows = keyed(docs, id_col, text_col).select("doc_id", "key", "digest")
-    return rows.join(index, ["key", "digest"]).select(
+    return look_up(rows, index, bits).select(
         "doc_id",
         "keep_id",
         F.col("copies").alias("group_size"),
@@ -196,7 +247,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The documents that stay, with all their columns: the rows that `exact_groups` calls kept,
     and rows without an id where no copy has one. A row stays by its id and its text, so of rows
     that share an id only those stay whose own text has no smaller id."""
-    index = build_index(docs, id_col, text_col)
+    index = build_index(docs, range_bits(docs), id_col, text_col).filter("key IS NOT NULL")
     keep = index.select(F.col("keep_id").alias("__keep"), F.col("digest").alias("__digest"))
     digest = F.unhex(F.sha2(normalised(docs[text_col]), 256))
     return docs.join(keep, (digest == F.col("__digest")) & docs[id_col].eqNullSafe(F.col("__keep")), "left_semi")

@@ -106,6 +106,36 @@ def test_colliding_keys_are_compared_by_bytes():
     assert sorted(entries) == [(1, 0, b"dx", 2, 6), (1, 1, b"dy", 3, 2), (2, 0, b"dx", 9, 1)]
 
 
+def _index_of(documents, capacity):
+    docs = documents([(i, "hot" if i % 3 == 0 else f"text {i}") for i in range(900)])
+    return docs, exact_dedup.build_index(docs, 2, capacity=capacity)
+
+
+@pytest.mark.parametrize("capacity", [2, 16, 512])
+def test_written_directories_lead_to_the_buckets(documents, capacity):
+    docs, index = _index_of(documents, capacity)
+    rows = exact_dedup.keyed(docs).select("doc_id", "key", "digest")
+    got = {r.doc_id: (r.keep_id, r.copies) for r in exact_dedup.look_up(rows, index, 2).collect()}
+    assert got == {i: (0, 300) if i % 3 == 0 else (i, 1) for i in range(900)}
+    for row in exact_dedup.directories(index).collect():
+        assert len(row.slots) == 1 << row.deepest and max(row.slots) == row.deepest
+    placed = {(r.owner, r.bucket, r.depth) for r in index.filter("key IS NOT NULL").collect()}
+    found = exact_dedup.located(rows, index, 2).collect()
+    assert {(r.owner, r.bucket, r.depth) for r in found} == placed
+    assert max(depth for _, _, depth in placed) > 0 or capacity == 512
+
+
+def test_a_wrong_directory_loses_texts(documents):
+    from pyspark.sql import functions as F
+
+    docs, index = _index_of(documents, 16)
+    rows = exact_dedup.keyed(docs).select("doc_id", "key", "digest")
+    wrong_bucket = index.withColumn("bucket", F.col("bucket").bitwiseXOR(F.lit(1)))
+    assert exact_dedup.look_up(rows, wrong_bucket, 2).count() < 900
+    shallower = index.withColumn("depth", F.greatest(F.col("depth") - 1, F.lit(0)))
+    assert exact_dedup.look_up(rows, shallower, 2).count() < 900
+
+
 # --- near duplicates ---------------------------------------------------------
 
 
