@@ -27,6 +27,8 @@ DEPTH = 16
 """Bits of a directory, at most; a bucket that has used them all grows instead."""
 RANGE_ROWS = 1 << 15
 """Rows of a key range, on average, at most."""
+SLICE = 256
+"""Rows that a task holds as Python objects, or hands on, at a time."""
 
 _COMBINED = "owner long, key long, text binary, digest binary, keep_id long, copies long"
 INDEX = "owner long, bucket long, depth int, key long, chain int, digest binary, keep_id long, copies long"
@@ -89,24 +91,36 @@ def _least(a: int | None, b: int | None) -> int | None:
 
 def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Equal texts of a batch become one row, so that a text in a third of all rows reaches its
-    owner as a few rows of each task."""
+    owner as a few rows of each task. Texts of one digest are compared byte by byte, in place:
+    no text becomes a Python object."""
+    names = ["owner", "key", "text", "digest", "keep_id", "copies"]
     for batch in batches:
-        owner, key, text, digest, ids = (column.to_pylist() for column in batch.columns)
-        first: dict[bytes, int] = {}
-        keep: list[int | None] = []
-        copies: list[int] = []
-        for row, (body, doc) in enumerate(zip(text, ids)):
-            at = first.setdefault(body, row)
-            keep.append(doc)
-            copies.append(1)
-            if at != row:
-                keep[at] = _least(keep[at], doc)
+        owner, key, text, digest, ids = batch.columns
+        keep: list[int | None] = ids.to_pylist()
+        copies = [1] * len(keep)
+        first: dict[bytes, list[int]] = {}
+        rows: list[int] = []
+        for row, fingerprint in enumerate(digest.to_pylist()):
+            seen = first.setdefault(fingerprint, [])
+            at = next((other for other in seen if text[other].equals(text[row])), None)
+            if at is None:
+                seen.append(row)
+                rows.append(row)
+            else:
+                keep[at] = _least(keep[at], keep[row])
                 copies[at] += 1
-        rows = list(first.values())
-        columns = [[values[row] for row in rows] for values in (owner, key, text, digest, keep, copies)]
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
-        names = ["owner", "key", "text", "digest", "keep_id", "copies"]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+        for start in range(0, len(rows), SLICE):
+            part = rows[start : start + SLICE]
+            columns = [column.take(pa.array(part)) for column in (owner, key, text, digest)]
+            counts = [pa.array([values[row] for row in part], pa.int64()) for values in (keep, copies)]
+            yield pa.RecordBatch.from_arrays(columns + counts, names)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of batches, as Python objects of few rows at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE):
+            yield from zip(*(column.to_pylist() for column in batch.slice(start, SLICE).columns))
 
 
 def _own(range_bits: int, capacity: int):
@@ -133,23 +147,21 @@ def _own(range_bits: int, capacity: int):
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owner, directory = None, None
         key, texts = None, []
-        for batch in batches:
-            for row in zip(*(column.to_pylist() for column in batch.columns)):
-                at, row_key, text, digest, doc, copies = row
-                if at != owner:
-                    if directory is not None:
-                        yield written(owner, directory)
-                    owner, directory, key = at, Directory(range_bits, capacity), None
-                unsigned = row_key & 0xFFFFFFFFFFFFFFFF
-                if unsigned != key:  # the texts of one key only are held, to be compared
-                    key, texts = unsigned, []
-                chain = directory.chain(unsigned)
-                if text in texts:
-                    entry = chain[texts.index(text)]
-                    entry[1], entry[2] = _least(entry[1], doc), entry[2] + copies
-                else:
-                    texts.append(text)
-                    chain.append([digest, doc, copies])
+        for at, row_key, text, digest, doc, copies in _rows(batches):
+            if at != owner:
+                if directory is not None:
+                    yield written(owner, directory)
+                owner, directory, key = at, Directory(range_bits, capacity), None
+            unsigned = row_key & 0xFFFFFFFFFFFFFFFF
+            if unsigned != key:  # the texts of one key only are held, to be compared
+                key, texts = unsigned, []
+            chain = directory.chain(unsigned)
+            if text in texts:
+                entry = chain[texts.index(text)]
+                entry[1], entry[2] = _least(entry[1], doc), entry[2] + copies
+            else:
+                texts.append(text)
+                chain.append([digest, doc, copies])
         if directory is not None:
             yield written(owner, directory)
 

@@ -106,6 +106,17 @@ def test_colliding_keys_are_compared_by_bytes():
     assert sorted(entries) == [(1, 0, b"dx", 2, 6), (1, 1, b"dy", 3, 2), (2, 0, b"dx", 9, 1)]
 
 
+def test_copies_within_a_batch_are_combined_by_bytes():
+    import pyarrow as pa
+
+    rows = [(0, 1, f"t{i % 300}".encode(), b"same" if i % 300 < 2 else b"d%d" % (i % 300), i) for i in range(900)]
+    rows[5] = (*rows[5][:4], None)
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["owner", "key", "text", "digest", "doc_id"])
+    out = [row for part in exact_dedup._combine(iter([batch])) for row in part.to_pylist()]
+    assert [(r["text"], r["copies"]) for r in out] == [(f"t{i}".encode(), 3) for i in range(300)]
+    assert [r["keep_id"] for r in out] == [305 if i == 5 else i for i in range(300)]
+
+
 def _index_of(documents, capacity):
     docs = documents([(i, "hot" if i % 3 == 0 else f"text {i}") for i in range(900)])
     return docs, exact_dedup.build_index(docs, 2, capacity=capacity)
