@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .quality import ALPHA, DELTA, RULES
+from .quality import ALPHA, DELTA, RULES, STEPS
 
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
@@ -10,13 +10,9 @@ _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _BLANKS = r"[\x20\x09-\x0D]"
 
 
-def _cutoffs() -> str:
-    """The cutoffs tried, as rows (rule, i, cutoff)."""
-    return ", ".join(
-        f"('{rule}', {i}, {cutoff})"
-        for rule, (_, _, tried) in RULES.items()
-        for i, cutoff in enumerate(tried)
-    )
+def _steps() -> str:
+    """The steps tried, as rows (rule, i, cutoff)."""
+    return ", ".join(f"('{rule}', {i}, {cutoff})" for i, (rule, cutoff) in enumerate(STEPS))
 
 
 def _rejected() -> str:
@@ -26,9 +22,9 @@ def _rejected() -> str:
     )
 
 
-def _ratios() -> str:
-    return " UNION ALL ".join(
-        f"SELECT stratum, '{rule}' AS rule, {numerator} AS a, {denominator} AS b FROM held"
+def _above_step() -> str:
+    return " OR ".join(
+        f"rule = '{rule}' AND 1000 * {numerator} > cutoff * {denominator}"
         for rule, (numerator, denominator, _) in RULES.items()
     )
 
@@ -51,15 +47,16 @@ _QUALITY = rf"""
     b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM f),
     held AS (SELECT * FROM b WHERE NOT base_failed
         AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
-    ratios AS ({_ratios()}),
-    tried(rule, i, cutoff) AS (VALUES {_cutoffs()}),
-    cells AS (SELECT stratum, rule, i, cutoff, count(*) AS n,
-        count(*) FILTER (1000 * a > cutoff * b) AS k FROM ratios JOIN tried USING (rule) GROUP BY ALL),
-    tail AS (SELECT *, CASE WHEN k >= n * {ALPHA / len(RULES)!r} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1),
+    tried(rule, i, cutoff) AS (VALUES {_steps()}),
+    first AS (SELECT stratum, doc_id, min(i) FILTER ({_above_step()}) AS first
+        FROM held CROSS JOIN tried GROUP BY stratum, doc_id),
+    cells AS (SELECT stratum, rule, i, cutoff, count(*) AS n, count(*) FILTER (first <= i) AS k
+        FROM first CROSS JOIN tried GROUP BY ALL),
+    tail AS (SELECT *, CASE WHEN k >= n * {ALPHA!r} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1),
         lambda x: exp(lgamma(n + 1.0) - lgamma(x + 1.0) - lgamma(n - x + 1.0)
-            + x * ln({ALPHA / len(RULES)!r}) + (n - x) * ln(1 - {ALPHA / len(RULES)!r})))) END AS p FROM cells),
-    passed AS (SELECT *, bool_and(p <= {DELTA!r} / ({len(RULES)} * (SELECT count(*) FROM (SELECT DISTINCT stratum FROM held))))
-        OVER (PARTITION BY stratum, rule ORDER BY i) AS ok FROM tail),
+            + x * ln({ALPHA!r}) + (n - x) * ln(1 - {ALPHA!r})))) END AS p FROM cells),
+    passed AS (SELECT *, bool_and(p <= {DELTA!r} / (SELECT count(*) FROM (SELECT DISTINCT stratum FROM held)))
+        OVER (PARTITION BY stratum ORDER BY i) AS ok FROM tail),
     best AS (SELECT stratum, {", ".join(f"min(cutoff) FILTER (rule = '{rule}') AS max_{rule}" for rule in RULES)}
         FROM passed WHERE ok GROUP BY stratum)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

@@ -92,13 +92,34 @@ def test_cutoffs_lose_few_good_documents(documents, labels):
     # The choice agrees with the rule worked out by hand.
     for lang in ("aa", "bb"):
         held = [got[i] for (i, _, at), (_, mark) in zip(rows, marks) if at == lang and mark]
-        chosen = None
-        for cutoff in quality.RULES["symbols"][2]:
-            lost = sum(1000 * r.n_symbols > cutoff * r.word_chars for r in held)
-            if lost >= len(held) * 0.005 or tail(lost, len(held), 0.005) > 0.05 / 8:
+        chosen = dict.fromkeys(quality.RULES)
+        for step, (rule, cutoff) in enumerate(quality.STEPS, 1):
+            lost = sum(any(above(r, *tried) for tried in quality.STEPS[:step]) for r in held)
+            if lost >= len(held) * 0.02 or tail(lost, len(held), 0.02) > 0.05 / 2:
                 break
-            chosen = cutoff
-        assert {got[i].max_symbols for i, _, at in rows if at == lang} == {chosen}
+            chosen[rule] = cutoff
+        assert chosen["symbols"] is not None
+        for rule, cutoff in chosen.items():
+            assert {got[i][f"max_{rule}"] for i, _, at in rows if at == lang} == {cutoff}
+
+
+def above(row, rule, cutoff):
+    numerator, denominator, _ = quality.RULES[rule]
+    return 1000 * row[numerator] > cutoff * row[denominator]
+
+
+def test_217_good_documents_suffice_among_four_strata(documents, labels):
+    plain = " ".join(f"word{i}" for i in range(30))
+    sizes = {"a": 217, "b": 216, "c": 300, None: 217}
+    rows, spam = [], {}
+    for lang, n in sizes.items():
+        rows += [(len(rows) + i, plain, lang) for i in range(n)]
+        spam[lang] = len(rows)
+        rows.append((len(rows), plain + " " + "#" * 400, lang))
+    marks = [(i, int(i not in spam.values())) for i, _, _ in rows]
+    got = {r.doc_id: r for r in quality.assess(documents(rows), labels(marks)).collect()}
+    assert {lang: got[i].kept for lang, i in spam.items()} == {"a": False, "b": True, "c": False, None: False}
+    assert all(got[i].kept for i, mark in marks if mark)
 
 
 # --- mixing ------------------------------------------------------------------
