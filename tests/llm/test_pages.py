@@ -175,6 +175,65 @@ def test_an_article_without_content_is_not_the_page():
     assert extract.main_text(html) == " ".join([text.strip()] * 6)
 
 
+LONG = "A sentence of the page's own that says what it is about. " * 6
+MORE = "What a reader thinks of it, at great length and without an end. " * 40
+SAYS = LONG.strip()
+OUTSIDE = {
+    "comments longer than the article": (f"<article><p>{LONG}</p><div class='comments'><p>{MORE}</p><p>{MORE}</p></div></article>", SAYS),
+    "comments as articles": (
+        f"<article><p>{LONG}</p></article><ol class=comment-list><li><article id=comment-1><p>{MORE}</p></article></li></ol>",
+        SAYS,
+    ),
+    "nothing but comments": (f"<div class=comments><p>{LONG}</p></div>", SAYS),
+    "alert": (f"<article><p>{LONG}</p><div class='alert alert-info'>Our terms have changed.</div><p>{LONG}</p></article>", f"{SAYS} {SAYS}"),
+    "menu without a name": (
+        f"<article><p>{LONG}</p><div><a href=a>One</a> <a href=b>Two</a> <a href=c>Three</a></div><p>{LONG}</p></article>",
+        f"{SAYS} {SAYS}",
+    ),
+    "links in a sentence": (
+        f"<article><p>{LONG}</p><p>See <a href=a>One</a>, then <a href=b>Two</a> and also <a href=c>Three</a>.</p></article>",
+        f"{SAYS} See One, then Two and also Three.",
+    ),
+    "nothing but links": ("<article><ul><li><a>One</a><li><a>Two</a><li><a>Three</a></ul></article>", "One Two Three"),
+    "price": (f"<article><p>{LONG}</p><p class='share-price'>Down 3 %.</p></article>", f"{SAYS} Down 3 %."),
+    "two articles of a page": (
+        f"<article><p>{LONG}</p></article><nav>Menu</nav><article><p>{LONG * 3}</p></article>",
+        " ".join([SAYS] * 4),
+    ),
+    "advert longer than the article": (f"<div class=ad>{LONG}</div><article><h1>Hi.</h1><p><b>Hi.</article>", "Hi. Hi."),
+    "inline advert": (f"<article><p>{LONG}<span class=ad>Buy now</span> More.</p></article>", f"{SAYS} More."),
+    "names": (f"<article><p>{LONG}</p><div class=adBox>Buy</div><p class=ad-free>Kept</p><p id=NoAds>Kept too</p></article>", f"{SAYS} Kept Kept too"),
+    "no article, sidebar holds less": (
+        f"<div class=wrap><div id=c><h1>Title</h1><p>{LONG}</p><p>{LONG}</p></div><div class=widget><p>{LONG}</p></div></div>",
+        f"Title {SAYS} {SAYS}",
+    ),
+}
+
+
+@pytest.mark.parametrize("name", OUTSIDE)
+def test_content_decides(name):
+    html, text = OUTSIDE[name]
+    assert extract.main_text(html) == text
+
+
+def test_ratios_select_the_region(monkeypatch):
+    """With the ratios turned round, short lines are content and prose is not."""
+    body = "".join(f"<p>{LONG}</p>" for _ in range(4))
+    items = "".join(f"<div><b><i>{i}</i></b></div>" for i in range(6))
+    pages = [OUTSIDE["menu without a name"][0], f"<div id=a>{items}</div><div id=b>{body}</div>", f"<article>{items}</article><article>{body}</article>"]
+    before = [extract.main_text(html) for html in pages]
+    smoothed = extract.smoothed
+    monkeypatch.setattr(extract, "smoothed", lambda values: -smoothed(values))
+    assert [a != extract.main_text(html) for a, html in zip(before, pages)] == [True] * 3
+
+
+def test_deep_and_unclosed_pages_take_linear_work():
+    n = 50_000
+    assert extract.main_text("<div class=ad>" * 3 + "<div>" * n + "words") == "words"
+    assert extract.main_text("<b>" * n + "</i>" * n + "<hr>" * n + "words") == "words"
+    assert extract.main_text("<article>" + "<b><p>x" * n) == " ".join("x" * n)
+
+
 def test_extract(pages):
     rows = [(1, "u", CASES["article"][0]), (1, "u", CASES["article"][0]), (None, None, None), (2, None, ""), (3, "v", "<article>é" + "<p>word" * 20_000)]
     got = extract.extract(pages(rows)).collect()
