@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Iterable
 from contextlib import contextmanager
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import TOP_VERTICES
@@ -20,8 +21,10 @@ from .ranking import top_k
 # unless that is less than a ten-thousandth of all links. So at most _MAX_SPLIT vertices are.
 _STEPS_PER_PART = 10_000_000
 _MAX_SPLIT = 10_000
-# Landmarks of a batch in `closeness_of`: the bits of a long.
+# Landmarks of a batch in `closeness_of`, or of a group in `hop_distances`: the bits of a long.
 BATCH = 64
+# A task numbers at least so many landmarks if there are so many, so that most groups are full.
+_NUMBERED = 64 * BATCH
 
 
 def vertices(
@@ -97,26 +100,30 @@ def hop_distances(
     landmark, along the edges' direction unless ``directed=False``. A landmark is at
     distance 0 from itself; vertices that do not reach it are absent.
 
-    Breadth-first from all landmarks at once. Each round joins the newest pairs to the
-    links that end in them and drops the pairs seen before. Links and seen pairs are laid
-    out once, so a round shuffles only the newest pairs and the steps taken from them; ends
-    of very many links are split, so no task holds a whole hub.
+    Breadth-first from all landmarks at once. Landmarks are numbered and searched in groups of
+    up to 64, a bit each, so a vertex has one row per group and distance, with the bits of
+    the landmarks that it reaches in that many hops. Each round joins the newest rows to the
+    links that end in them and turns off the bits seen before. Links and seen rows are laid
+    out once, so a round shuffles only the newest rows and the steps taken from them; ends
+    of very many links are split, so no task holds a whole hub. Pairs are made of the bits
+    when the result is read.
 
-    A round writes its new pairs once, as a checkpoint: that cuts the lineage, and a lost
-    executor costs no earlier round. Checkpoints of like size are merged, so every pair is
+    A round writes its new rows once, as a checkpoint: that cuts the lineage, and a lost
+    executor costs no earlier round. Checkpoints of like size are merged, so every row is
     written again a logarithmic number of times, few are joined in a round, and those merged
     are deleted at once. The result reads the last ones; Spark deletes them with it if
     ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
     """
     use_checkpoint_dir(links.sparkSession)
     table = _landmark_table(links, landmarks)
-    laid_out, splits = _laid_out(links, directed, table)
-    newest, size = _written(_at_landmarks(table, splits))
+    number = table.count()
+    laid_out, splits = _laid_out(links, directed, table, number)
+    newest, size = _written(_first_bits(table, splits, number))
     seen, hop = [_Seen(newest, size)], 0
     try:
         while size and (max_hops is None or hop < max_hops):
             hop += 1
-            steps = _next_hop(laid_out, newest, [frame.by_pair for frame in seen], hop)
+            steps = _next_hop(laid_out, newest, [frame.known for frame in seen], hop)
             newest, size = _written(steps)
             if size:
                 seen.append(_Seen(newest, size))
@@ -126,52 +133,100 @@ def hop_distances(
     finally:
         laid_out.unpersist()
         for frame in seen:
-            frame.by_pair.unpersist()
-    return _union([frame.pairs for frame in seen]).select("landmark", "id", "distance")
+            frame.known.unpersist()
+    return _pairs(_union([frame.rows for frame in seen]))
+
+
+def _first_bits(landmarks: DataFrame, splits: DataFrame, number: int) -> DataFrame:
+    """``group``, ``id``, ``parts``, ``bits``, ``distance``: each of the landmarks, of which
+    there are ``number``, with its own bit."""
+    row = F.monotonically_increasing_id()
+    bit = row.bitwiseAND(BATCH - 1).cast("int")
+    return _at_landmarks(landmarks.coalesce(max(1, number // _NUMBERED)), splits).select(
+        F.shiftright(row, 6).alias("group"),
+        "id",
+        "parts",
+        F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bits"),
+        "distance",
+    )
+
+
+def _bits_on(bits: str) -> Column:
+    """The places of the bits that are on."""
+    places = F.sequence(F.lit(0), F.lit(BATCH - 1))
+    return F.filter(places, lambda place: F.getbit(F.col(bits), place) == 1)
 
 
-def _written(pairs: DataFrame) -> tuple[DataFrame, int]:
-    """The pairs checkpointed, and their number from the same job."""
+def _pairs(found: DataFrame) -> DataFrame:
+    """``landmark``, ``id``, ``distance`` of rows with bits. Rows at distance 0 tell which
+    landmark a bit stands for; a group has at most 64 of them."""
+    names = (
+        found.filter("distance = 0")
+        .select("group", F.explode(_bits_on("bits")).alias("place"), F.col("id").alias("landmark"))
+        .groupBy("group")
+        .agg(F.map_from_entries(F.collect_list(F.struct("place", "landmark"))).alias("names"))
+    )
+    return (
+        found.join(names, "group")
+        .select("names", F.explode(_bits_on("bits")).alias("place"), "id", "distance")
+        .select(F.col("names")[F.col("place")].alias("landmark"), "id", "distance")
+    )
+
+
+def _written(rows: DataFrame) -> tuple[DataFrame, int]:
+    """The rows checkpointed, and their number from the same job."""
     counted = Observation()
-    with _in_one_job(pairs.sparkSession):
-        written = pairs.observe(counted, F.count("*").alias("rows")).checkpoint()
+    with _in_one_job(rows.sparkSession):
+        written = rows.observe(counted, F.count("*").alias("rows")).checkpoint()
     return written, counted.get["rows"]
 
 
+_one_job = threading.Lock()
+_users: dict[SparkSession, list] = {}
+"""Sessions with jobs in one: how many run, and the setting before the first."""
+
+
 @contextmanager
 def _in_one_job(spark: SparkSession):
     """Plan without adaptive execution, which would run a job for every cached frame and
-    shuffle of a round. What it does is done here: hubs are split, and layouts are kept."""
+    shuffle of a round. What it does is done here: hubs are split, and layouts are kept.
+    Of several threads the first saves the session's setting and the last restores it."""
     key = "spark.sql.adaptive.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
+    with _one_job:
+        users = _users.setdefault(spark, [0, spark.conf.get(key)])
+        users[0] += 1
+        spark.conf.set(key, "false")
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        with _one_job:
+            users[0] -= 1
+            if not users[0]:
+                spark.conf.set(key, _users.pop(spark)[1])
 
 
 class _Seen:
-    """Checkpointed pairs, and the same laid out for joins with steps. The layout is made by
-    the first join that needs it and is neither shuffled nor sorted again; what is lost of it
-    comes back from the checkpoint."""
+    """Checkpointed rows, and the bits of each group and vertex laid out for joins with steps.
+    The layout is made by the first join that needs it and is neither shuffled nor sorted again;
+    what is lost of it comes back from the checkpoint."""
 
-    def __init__(self, pairs: DataFrame, size: int):
-        keys = ["landmark", "id"]
-        self.pairs, self.size = pairs, size
-        laid_out = pairs.select(*keys).repartition(*keys).sortWithinPartitions(*keys)
-        self.by_pair = laid_out.persist(StorageLevel.MEMORY_AND_DISK)
+    def __init__(self, rows: DataFrame, size: int):
+        keys = ["group", "id"]
+        self.rows, self.size = rows, size
+        # A merged frame has a row for each distance.
+        laid_out = rows.repartition(*keys).groupBy(*keys).agg(F.bit_or("bits").alias("known"))
+        self.known = laid_out.sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _merge_alike(seen: list[_Seen]) -> None:
-    """Merge the last frames while the one before is at most twice as large. The newest pairs
+    """Merge the last frames while the one before is at most twice as large. The newest rows
     are still needed by themselves, so they stay out until the next round."""
     while len(seen) > 2 and seen[-3].size <= 2 * seen[-2].size:
         last, two, one = seen.pop(), seen.pop(), seen.pop()
-        merged, size = _written(_union([one.pairs, two.pairs]))
+        merged, size = _written(_union([one.rows, two.rows]))
         for frame in (one, two):
-            frame.by_pair.unpersist()
-            forget_checkpoint(frame.pairs)
+            frame.known.unpersist()
+            forget_checkpoint(frame.rows)
         seen += [_Seen(merged, size), last]
 
 
@@ -189,20 +244,25 @@ def _at_landmarks(landmarks: DataFrame, splits: DataFrame) -> DataFrame:
 
 
 def _next_hop(links: DataFrame, newest: DataFrame, seen: list[DataFrame], hop: int) -> DataFrame:
-    """The pairs reached in ``hop`` edges and in no fewer. Tasks merge repeated pairs
-    before the shuffle."""
+    """The rows reached in ``hop`` edges, with the bits of those reached in no fewer. Tasks
+    merge repeated rows before the shuffle."""
     reached = newest.select(
-        "landmark",
+        "group",
         F.col("id").alias("dst"),
         F.explode(F.sequence(F.lit(1), "parts")).alias("part"),
+        "bits",
     )
     steps = (
         links.join(reached, ["dst", "part"])
-        .groupBy("landmark", F.col("src").alias("id"))
-        .agg(F.max("src_parts").alias("parts"))
+        .groupBy("group", F.col("src").alias("id"))
+        .agg(F.max("src_parts").alias("parts"), F.bit_or("bits").alias("bits"))
     )
-    for pairs in seen:
-        steps = steps.join(pairs, ["landmark", "id"], "left_anti")
+    new = F.when(F.col("known").isNull(), F.col("bits")).otherwise(
+        F.col("bits").bitwiseAND(F.bitwise_not("known"))
+    )
+    for known in seen:
+        steps = steps.join(known, ["group", "id"], "left")
+        steps = steps.select("group", "id", "parts", new.alias("bits")).filter("bits <> 0")
     return steps.withColumn("distance", F.lit(hop))
 
 
@@ -295,12 +355,12 @@ def _landmark_table(links: DataFrame, landmarks: DataFrame | Iterable) -> DataFr
 
 
 def _laid_out(
-    links: DataFrame, directed: bool, landmarks: DataFrame
+    links: DataFrame, directed: bool, landmarks: DataFrame, number: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Distinct links partitioned by end vertex and part, and the split vertices.
 
-    A part holds fewer links the more landmarks there are, as every landmark that reached a
-    hub takes a step along each of its links.
+    A part holds fewer links the more landmarks there are (``number``, counted if it is not
+    given), as every landmark that reached a hub takes a step along each of its links.
 
     Links: ``src``, ``dst``, ``part`` of dst's links this one is in, and ``src_parts``, the
     number of parts src's own links are in. They are persisted, which keeps their
@@ -316,10 +376,13 @@ def _laid_out(
             F.col("dst").alias("src"), F.col("src").alias("dst")
         )
         pairs = pairs.select(F.explode(F.array(there, back)).alias("way")).select("way.*")
-    pairs = pairs.filter(F.col("src") != F.col("dst")).distinct().checkpoint()
+    pairs = pairs.filter(F.col("src") != F.col("dst")).distinct()
+    counted = Observation()
+    pairs = pairs.observe(counted, F.count("*").alias("links")).checkpoint()
 
-    steps = max(1, _STEPS_PER_PART // max(1, landmarks.count()))
-    per_part = max(steps, -(-pairs.count() // _MAX_SPLIT))
+    number = landmarks.count() if number is None else number
+    steps = max(1, _STEPS_PER_PART // max(1, number))
+    per_part = max(steps, -(-counted.get["links"] // _MAX_SPLIT))
     splits = (
         pairs.groupBy(F.col("dst").alias("id"))
         .agg(F.count("*").alias("links"))

@@ -185,6 +185,47 @@ def test_batches_hold_at_most_a_row_per_vertex(spark, monkeypatch):
         assert got[landmark] == ((len(hops) - 1) / sum(hops) if sum(hops) else 0.0)
 
 
+@pytest.mark.parametrize("directed", [True, False])
+def test_landmarks_share_rows_as_bits(spark, monkeypatch, directed):
+    rng = random.Random(3)
+    rows = [(rng.randrange(200), rng.randrange(200)) for _ in range(420)]
+    links = spark.createDataFrame(rows, "src int, dst int")
+    landmarks = list(range(200))  # four groups, the last of them not full
+    written, write = [], graph._written
+
+    def counted(frame):
+        frame, size = write(frame)
+        written.append(frame.collect())  # frames are deleted when they are merged
+        return frame, size
+
+    monkeypatch.setattr(graph, "_written", counted)
+    got = as_dict(graph.hop_distances(links, landmarks, directed))
+    assert got == distances_by_hand(rows, landmarks, directed)
+    first = written[0]
+    assert len(first) == 200 and len({r.group for r in first}) == 4
+    assert len({(r.group, r.bits) for r in first}) == 200
+    assert max(d for d in got.values()) > 4
+
+
+def test_landmarks_are_numbered_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(graph, "_NUMBERED", 8)
+    rows = [(n + 1, n) for n in range(12)] + [(n, 100) for n in range(50)]
+    links = spark.createDataFrame(rows, "src bigint, dst bigint")
+    landmarks = spark.range(0, 30, numPartitions=4)
+    got = as_dict(graph.hop_distances(links, landmarks))
+    assert got == distances_by_hand(rows, range(30))
+
+
+def test_searches_of_two_threads_leave_the_setting_alone(spark):
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    with graph._in_one_job(spark):
+        with graph._in_one_job(spark):
+            assert spark.conf.get(key) == "false"
+        assert spark.conf.get(key) == "false"
+    assert spark.conf.get(key) == before and not graph._users
+
+
 def test_links_with_a_null_end_are_no_edges(spark):
     links = spark.createDataFrame([(1, None), (1, 2), (None, None)], "src int, dst int")
     assert sorted(map(tuple, graph.degree_share(links).collect())) == [(1, 1, 100.0), (2, 1, 100.0)]
