@@ -30,10 +30,12 @@ def learn(
 
     The sample takes ``rows`` divided by the number of languages from each language, those with
     the smallest hash of the id, and of each a stretch of 48 words at a place that the hash
-    chooses. The number of rows of each language is counted over all documents.
+    chooses. The number of rows of each language is counted over all documents; of more than
+    ``rows`` languages the most frequent are learned, as a sample cannot hold more.
     """
     labelled = docs.filter(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = {r[label_col]: r["count"] for r in labelled.groupBy(label_col).count().collect()}
+    often = labelled.groupBy(label_col).count().orderBy(F.desc("count"), label_col).limit(rows)
+    counts = {r[label_col]: r["count"] for r in often.collect()}
     if not counts:
         return None
     quota = max(1, rows // len(counts))

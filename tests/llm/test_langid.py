@@ -116,6 +116,13 @@ def test_without_labels_nothing_is_known(documents):
     assert {r.lang_pred for r in one} == {"xx"}
 
 
+def test_labels_are_bounded_by_the_sample(documents):
+    rows = [(i, f"{kind}a {kind}b thing", kind) for i, kind in enumerate(["xx"] * 9 + ["zz"] * 5 + ["yy"] * 5 + ["ww"])]
+    docs = documents([*rows, (99, "text", None)])
+    assert langid.learn(docs, rows=2).labels == ["xx", "yy"]
+    assert langid.learn(docs).labels == ["ww", "xx", "yy", "zz"]
+
+
 def test_keep_identified(documents):
     rows = rows_of(200)
     docs = documents([*rows, (500, None, "xx"), (501, "123", None)])
